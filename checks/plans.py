@@ -1,0 +1,43 @@
+"""Facts about the plan a query really ran, read from its final plan text."""
+
+from __future__ import annotations
+
+import re
+from collections import Counter
+
+from pyspark.sql import DataFrame
+
+
+def executed_plan(df: DataFrame) -> list[str]:
+    """Lines of the final adaptive plan, subqueries included.
+
+    Runs the query first: reuse of shuffles is only decided while it runs.
+    """
+    df.collect()
+    lines, skip_from = [], None
+    for line in df._jdf.queryExecution().executedPlan().toString().splitlines():
+        column = len(line) - len(line.lstrip(" :+-|"))
+        if skip_from is not None:
+            if column >= skip_from:
+                continue
+            skip_from = None
+        if "== Initial Plan ==" in line:
+            skip_from = column
+            continue
+        lines.append(line.strip())
+    return lines
+
+
+def scans(plan: list[str]) -> Counter:
+    """Table name -> number of scans that were executed."""
+    found = Counter()
+    for line in plan:
+        if "FileScan" in line:
+            found[re.search(r"/([^/\]]+?)(?:\.parquet)?\]", line).group(1)] += 1
+    return found
+
+
+def operators(plan: list[str]) -> Counter:
+    return Counter(
+        m.group(1) for line in plan if (m := re.search(r"([A-Z][A-Za-z]+)", line.lstrip(" :+-|*()0123456789")))
+    )

@@ -11,15 +11,17 @@ from pyspark.sql import types as T
 
 DAY_MS = 86_400_000
 
-# Accepted date texts (fixed values): YYYY-MM-DD, optionally with HH:MM[:SS[.fff]]
-# and a zone. A day of 31 in a shorter month runs over into the next month.
-DATE_TEXT = r"^\d{4}-\d{2}-(?:0[1-9]|[12]\d|3[01])[\sT]*$"
-DATE_TIME_TEXT = (
+PLAIN_DATE = r"^\d{4}-\d\d-\d\d$"
+
+# Accepted date texts (fixed values): YYYY-MM-DD, then optionally HH:MM[:SS[.fff]]
+# and a zone. A day of 31 in a shorter month runs over into the next month, and
+# so does hour 24 into the next day.
+DATE_TEXT = (
     r"^\d{4}-\d{2}-(?:0[1-9]|[12]\d|3[01])[\sT]*"
-    r"(?:[01]\d|2[0-4]):[0-5]\d(?::[0-5]\d(?:\.\d+)?)?"
-    r"\s*(?:[Zz]|[+-](?:0\d|1[0-4]):[0-5]\d)?\s*$"
+    r"(?:(?:[01]\d|2[0-4]):[0-5]\d(?::[0-5]\d(?:\.\d+)?)?"
+    r"\s*(?:[Zz]|[+-](?:0\d|1[0-4]):[0-5]\d)?\s*)?$"
 )
-CLOCK = r"(\d{2}):(\d{2})(?::(\d{2}(?:\.\d+)?))?\s*(?:([+-])(\d{2}):(\d{2}))?"
+BLANKS = " T\t\n\x0b\f\r"
 
 
 def _date_millis(text: Column) -> Column:
@@ -29,15 +31,15 @@ def _date_millis(text: Column) -> Column:
 
 
 def _clock_millis(text: Column) -> Column:
-    rest = F.substring(text, 11, 2**31 - 1)
-
-    def part(group: int) -> Column:
-        return F.coalesce(F.regexp_extract(rest, CLOCK, group).try_cast("double"), F.lit(0.0))
-
-    clock = part(1) * 3_600_000 + part(2) * 60_000 + part(3) * 1000
-    offset = part(5) * 3_600_000 + part(6) * 60_000
-    east = F.regexp_extract(rest, CLOCK, 4) == "+"
-    return F.round(F.when(east, clock - offset).otherwise(clock + offset)).cast("bigint")
+    clock = F.upper(F.translate(F.substring(text, 11, 2**31 - 1), BLANKS, ""))
+    hour = F.substring(clock, 1, 2).try_cast("int")
+    zone = F.when(clock.rlike("[Z+-]"), "").otherwise("Z")
+    minute, rest = F.substring(clock, 3, 3), F.substring(clock, 6, 2**31 - 1)
+    second = F.when(rest.startswith(":"), "").otherwise(":00")
+    past_hour = F.concat(F.lit("1970-01-01T00"), minute, second, rest, zone)
+    millis = hour * 3_600_000 + F.unix_millis(past_hour.try_cast("timestamp"))
+    # Nothing but blanks after the date: midnight.
+    return F.when(clock == "", F.lit(0)).otherwise(millis)
 
 
 def epoch_millis(value: Column, dtype: T.DataType) -> Column:
@@ -54,9 +56,11 @@ def epoch_millis(value: Column, dtype: T.DataType) -> Column:
         )
         return F.unix_date(value.cast("date")).cast("bigint") * F.lit(DAY_MS) + clock
     if isinstance(dtype, T.StringType):
-        return F.when(value.rlike(DATE_TEXT), _date_millis(value)).when(
-            value.rlike(DATE_TIME_TEXT), _date_millis(value) + _clock_millis(value)
-        )
+        # Plain dates take the short way. Both ways together must stay below
+        # the 8000 bytes of code up to which the JVM compiles a method.
+        plain = F.when(value.rlike(PLAIN_DATE), F.unix_date(value.try_cast("date")))
+        full = F.when(value.rlike(DATE_TEXT), _date_millis(value) + _clock_millis(value))
+        return F.coalesce(plain.cast("bigint") * F.lit(DAY_MS), full)
     raise TypeError(f"not a date column type: {dtype.simpleString()}")
 
 

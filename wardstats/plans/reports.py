@@ -174,12 +174,12 @@ def _abs_variance_pct() -> Column:
     return _rounded(F.abs("variance_pct"), 2, "abs_variance_pct")
 
 
-def _variance(table) -> DataFrame:
-    return classified_variance(benchmark_variance(table.by(*COMBO, billing=True)))
+def _variance(stats: DataFrame) -> DataFrame:
+    return classified_variance(benchmark_variance(stats))
 
 
 def q14_combos_above_benchmark(table) -> DataFrame:
-    above = _variance(table).filter(F.col("average_billing") > F.col("benchmark"))
+    above = _variance(table.by(*COMBO, billing=True)).filter(F.col("average_billing") > F.col("benchmark"))
     return above.select(*COMBO, _count(), *_against_benchmark()).orderBy(
         F.desc("average_billing"), *COMBO
     )
@@ -187,7 +187,7 @@ def q14_combos_above_benchmark(table) -> DataFrame:
 
 def q15_variance_usd(table) -> DataFrame:
     return (
-        _variance(table)
+        _variance(table.by(*COMBO, billing=True))
         .select(*COMBO, *_against_benchmark(), _variance_usd())
         .orderBy(F.desc("variance_usd"), *COMBO)
     )
@@ -195,7 +195,7 @@ def q15_variance_usd(table) -> DataFrame:
 
 def q16_variance_pct(table) -> DataFrame:
     return (
-        _variance(table)
+        _variance(table.by(*COMBO, billing=True))
         .select(*COMBO, *_against_benchmark(), _variance_usd(), _variance_pct())
         .orderBy(F.desc("variance_pct"), *COMBO)
     )
@@ -203,7 +203,7 @@ def q16_variance_pct(table) -> DataFrame:
 
 def q17_variance_classification(table) -> DataFrame:
     return (
-        _variance(table)
+        _variance(table.by(*COMBO, billing=True))
         .select(*COMBO, *_against_benchmark(), _variance_usd(), _variance_pct(), "classification")
         .orderBy(F.desc("variance_pct"), *COMBO)
     )
@@ -211,7 +211,7 @@ def q17_variance_classification(table) -> DataFrame:
 
 def q18_absolute_variance(table) -> DataFrame:
     return (
-        _variance(table)
+        _variance(table.by(*COMBO, billing=True))
         .select(
             *COMBO, *_against_benchmark(), _variance_usd(), _variance_pct(), _abs_variance_pct(),
             "classification",
@@ -221,25 +221,29 @@ def q18_absolute_variance(table) -> DataFrame:
 
 
 def q19_largest_variance_per_condition(table) -> DataFrame:
-    largest = _variance(table).filter(F.abs("variance_pct") == F.col("peak_pct"))
+    largest = _variance(table.by(*COMBO, billing=True)).filter(F.abs("variance_pct") == F.col("peak_pct"))
     return largest.select(
         *COMBO, *_against_benchmark(), _variance_usd(), _variance_pct(), _abs_variance_pct()
     ).orderBy(*COMBO)
 
 
-def _class_counts(table) -> DataFrame:
-    return _variance(table).groupBy("classification").agg(F.count(F.lit(1)).alias("n_combos"))
+def _class_counts(stats: DataFrame) -> DataFrame:
+    return _variance(stats).groupBy("classification").agg(F.count(F.lit(1)).alias("n_combos"))
 
 
 def q20_combos_per_class(table) -> DataFrame:
-    return _class_counts(table).orderBy(F.desc("n_combos"), "classification")
+    counts = _class_counts(table.by(*COMBO, billing=True))
+    return counts.orderBy(F.desc("n_combos"), "classification")
 
 
 def q21_class_shares(table) -> DataFrame:
-    counts = _class_counts(table)
-    share = share_of_total(F.col("n_combos"), grand_totals(counts, "n_combos")["n_combos"])
-    return counts.select("classification", "n_combos", _rounded(share, 2, "pct_of_combos")).orderBy(
-        F.desc("n_combos"), "classification"
+    stats = table.by(*COMBO, billing=True)
+    combos = grand_totals(with_keys(stats, CONDITION), combos=F.count(F.lit(1)))["combos"]
+    share = share_of_total(F.col("n_combos"), combos)
+    return (
+        _class_counts(stats)
+        .select("classification", "n_combos", _rounded(share, 2, "pct_of_combos"))
+        .orderBy(F.desc("n_combos"), "classification")
     )
 
 
