@@ -174,6 +174,11 @@ QUESTIONS = {
     "admission_facts": ((), """
         SELECT condition, admission_type, provider, CAST(los AS DOUBLE) AS los_days,
                CAST(bill AS DOUBLE) AS billing FROM adm"""),
+    "admission_summary": ((), f"""
+        SELECT {KEYS}, provider, COUNT(*) AS n, COUNT(los) AS los_n,
+               CAST(SUM(los) AS DOUBLE) AS patient_days, COUNT(bill) AS bill_n,
+               CAST(SUM(bill) AS DOUBLE) AS total_billing
+        FROM adm GROUP BY condition, admission_type, provider"""),
     "utilization": (("combo",), f"""
         SELECT {KEYS}, {COUNT}, mean_los AS average_los, days AS total_patient_days FROM combo"""),
     "benchmark_variance": (("gap",), f"""

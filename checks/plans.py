@@ -1,43 +1,45 @@
-"""Facts about the plan a query really ran, read from its final plan text."""
+"""What a query really ran: its final adaptive plan, node by node."""
 
 from __future__ import annotations
 
-import re
 from collections import Counter
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
 
-def executed_plan(df: DataFrame) -> list[str]:
-    """Lines of the final adaptive plan, subqueries included.
+@dataclass
+class Executed:
+    """Nodes of a final plan, subqueries included, reused parts not repeated."""
 
-    Runs the query first: reuse of shuffles is only decided while it runs.
-    """
+    nodes: Counter = field(default_factory=Counter)
+    scans: Counter = field(default_factory=Counter)
+    skew_joins: int = 0
+
+
+def executed(df: DataFrame) -> Executed:
+    """Run the query, then read its plan: reuse is only decided while it runs."""
     df.collect()
-    lines, skip_from = [], None
-    for line in df._jdf.queryExecution().executedPlan().toString().splitlines():
-        column = len(line) - len(line.lstrip(" :+-|"))
-        if skip_from is not None:
-            if column >= skip_from:
-                continue
-            skip_from = None
-        if "== Initial Plan ==" in line:
-            skip_from = column
-            continue
-        lines.append(line.strip())
-    return lines
-
-
-def scans(plan: list[str]) -> Counter:
-    """Table name -> number of scans that were executed."""
-    found = Counter()
-    for line in plan:
-        if "FileScan" in line:
-            found[re.search(r"/([^/\]]+?)(?:\.parquet)?\]", line).group(1)] += 1
+    found = Executed()
+    _walk(df._jdf.queryExecution().executedPlan(), found)
     return found
 
 
-def operators(plan: list[str]) -> Counter:
-    return Counter(
-        m.group(1) for line in plan if (m := re.search(r"([A-Z][A-Za-z]+)", line.lstrip(" :+-|*()0123456789")))
-    )
+def _walk(node, found: Executed) -> None:
+    name = node.getClass().getSimpleName()
+    if name == "AdaptiveSparkPlanExec":
+        return _walk(node.executedPlan(), found)
+    if name.endswith("QueryStageExec"):
+        return _walk(node.plan(), found)
+    found.nodes[name] += 1
+    if name.startswith("Reused"):
+        return None
+    if name == "FileSourceScanExec":
+        path = node.relation().location().rootPaths().head().getName()
+        found.scans[path.removesuffix(".parquet")] += 1
+    if name == "SortMergeJoinExec" and node.isSkewJoin():
+        found.skew_joins += 1
+    for children in (node.children(), node.subqueries()):
+        for i in range(children.size()):
+            _walk(children.apply(i), found)
+    return None

@@ -29,9 +29,10 @@ def share_difference(stats: DataFrame, totals: Column) -> DataFrame:
     over = F.when(all_los > 0, los * all_n > wide_n * all_los).when(
         all_los < 0, los * all_n < wide_n * all_los
     )
-    return (
-        stats.withColumn("admission_share", admission)
-        .withColumn("patient_day_share", patient_day)
-        .withColumn("share_difference", F.col("patient_day_share") - F.col("admission_share"))
-        .withColumn("over_share", over)
+    return stats.select(
+        "*",
+        admission.alias("admission_share"),
+        patient_day.alias("patient_day_share"),
+        (patient_day - admission).alias("share_difference"),
+        over.alias("over_share"),
     )

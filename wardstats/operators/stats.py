@@ -81,12 +81,12 @@ def _one_shape(stats: DataFrame, los: bool, billing: bool) -> DataFrame:
     holds, but names every partial, so the readers' aggregates stay equal and
     Spark runs their scan and shuffle once (ReusedExchange).
     """
-    holds = []
+    holds = [F.col("n") >= 0]
     if los:
         holds += [F.col("n") >= F.col("los_n"), (F.col("los_n") == 0) == F.col("los_ms").isNull()]
     if billing:
         holds += [F.col("n") >= F.col("bill_n"), (F.col("bill_n") == 0) == F.col("bill_sum").isNull()]
-    return stats.filter(reduce(lambda a, b: a & b, holds)) if holds else stats
+    return stats.filter(reduce(lambda a, b: a & b, holds))
 
 
 def average_los() -> Column:

@@ -31,21 +31,23 @@ def benchmark_variance(stats: DataFrame, parent: str = CONDITION) -> DataFrame:
         _low=F.min(average_billing()),
         _high=F.max(average_billing()),
     )
+    groups = with_keys(joined, parent).select(
+        *stats.columns,
+        "_low",
+        "_high",
+        average_billing().alias("average_billing"),
+        ratio(F.col("_sum"), F.col("_n")).alias("benchmark"),
+    )
     average, benchmark = F.col("average_billing"), F.col("benchmark")
-    return (
-        with_keys(joined, parent)
-        .withColumn("average_billing", average_billing())
-        .withColumn("benchmark", ratio(F.col("_sum"), F.col("_n")))
-        .withColumn("variance_usd", average - benchmark)
-        .withColumn("variance_pct", _variance_pct(average, benchmark))
-        .withColumn(
-            "peak_pct",
-            F.greatest(
-                F.abs(_variance_pct(F.col("_low"), benchmark)),
-                F.abs(_variance_pct(F.col("_high"), benchmark)),
-            ),
-        )
-        .drop("_sum", "_n", "_low", "_high")
+    low = F.abs(_variance_pct(F.col("_low"), benchmark))
+    high = F.abs(_variance_pct(F.col("_high"), benchmark))
+    return groups.select(
+        *stats.columns,
+        "average_billing",
+        "benchmark",
+        (average - benchmark).alias("variance_usd"),
+        _variance_pct(average, benchmark).alias("variance_pct"),
+        F.greatest(low, high).alias("peak_pct"),
     )
 
 

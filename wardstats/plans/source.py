@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from ..columns import ADMISSION_TYPE, CONDITION, PROVIDER, ColumnMap
 from ..operators.facts import admission_facts
@@ -26,25 +26,20 @@ class AdmissionTable:
     def by(self, *keys: str, los: bool = False, billing: bool = False) -> DataFrame:
         return group_stats(self.facts, *keys, los=los, billing=billing)
 
-    def write_summary(self, path: str) -> None:
-        """Write the finest partials once, for any number of later reports.
+    def summary(self) -> DataFrame:
+        """All partials per (condition, admission type, provider).
 
-        One row per (condition, admission type, provider). The path must be in
-        a folder shared by the cluster.
+        Written once as a table, it answers any number of reports through
+        ``SummaryTable``, for the price of one scan of the admissions.
         """
-        keys = (CONDITION, ADMISSION_TYPE, PROVIDER)
-        self.by(*keys, los=True, billing=True).write.parquet(path)
+        return self.by(CONDITION, ADMISSION_TYPE, PROVIDER, los=True, billing=True)
 
 
 @dataclass(frozen=True)
 class SummaryTable:
-    """A written summary; reports add its partials up instead of the rows."""
+    """A stored summary; reports add up its partials instead of the rows."""
 
-    summary: DataFrame
-
-    @classmethod
-    def read(cls, spark: SparkSession, path: str) -> "SummaryTable":
-        return cls(spark.read.parquet(path))
+    partials: DataFrame
 
     def by(self, *keys: str, los: bool = False, billing: bool = False) -> DataFrame:
-        return merge_stats(self.summary, *keys, los=los, billing=billing)
+        return merge_stats(self.partials, *keys, los=los, billing=billing)
