@@ -2,17 +2,18 @@ import os
 import sys
 
 import pytest
-from pyspark.sql import SparkSession
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
+from wardstats.session import session_builder  # noqa: E402
+
 
 @pytest.fixture(scope="session")
 def spark():
     session = (
-        SparkSession.builder.master("local[4]")
-        .appName("wardstats-tests")
+        session_builder("wardstats-tests")
+        .master("local[4]")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
