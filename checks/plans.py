@@ -20,6 +20,11 @@ class Executed:
 def executed(df: DataFrame) -> Executed:
     """Run the query, then read its plan: reuse is only decided while it runs."""
     df.collect()
+    return plan_of(df)
+
+
+def plan_of(df: DataFrame) -> Executed:
+    """The plan of a query that has been collected."""
     found = Executed()
     _walk(df._jdf.queryExecution().executedPlan(), found)
     return found

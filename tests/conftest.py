@@ -15,7 +15,7 @@ def spark():
         session_builder("wardstats-tests")
         .master("local[4]")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "3")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "4g")
         .config("spark.ui.showConsoleProgress", "false")

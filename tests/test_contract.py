@@ -1,9 +1,11 @@
-"""Every registered query against its SQL, on the given tables."""
+"""Every registered query against its SQL on the given tables, and its plan."""
 
 import pytest
 
 import __spark_entry__ as contract
 from checks.compare import differences, duckdb_over, rows_of_spark, rows_of_sql
+from checks.plans import plan_of
+from tests.test_plans import check
 from wardstats import REPORTS
 
 FOLDER = "/root/testdata/sf0.001"
@@ -22,10 +24,12 @@ def test_all_reports_are_registered():
 
 
 @pytest.mark.parametrize("name", contract.queries())
-def test_query_equals_sql(spark, con, name):
-    ours = rows_of_spark(contract.queries()[name](spark, FOLDER))
+def test_query_equals_sql_and_scans_each_table_once(spark, con, name):
+    df = contract.queries()[name](spark, FOLDER)
+    ours = rows_of_spark(df)
     assert ours[1], "no rows"
     assert differences(ours, rows_of_sql(con, contract.oracle_sql()[name])) is None
+    check(plan_of(df), name)
 
 
 def test_entry(spark):

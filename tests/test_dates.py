@@ -18,6 +18,10 @@ TEXTS = {
     "2024-01-01 06:30": 6 * HOUR + 1_800_000,
     "2024-01-01T06:30:15": 6 * HOUR + 1_815_000,
     "2024-01-01 06:30:15.250": 6 * HOUR + 1_815_250,
+    "2024-01-01T06:30:15.2501234567890123": 6 * HOUR + 1_815_250,
+    "2024-01-0106:30": 6 * HOUR + 1_800_000,
+    "2024-01-01\r\n": 0,
+    "2024-01-01\t06:30\r": 6 * HOUR + 1_800_000,
     "2024-01-01  06:30": 6 * HOUR + 1_800_000,
     "2024-01-01 06:00Z": 6 * HOUR,
     "2024-01-01T06:00:00z": 6 * HOUR,
@@ -41,6 +45,12 @@ TEXTS = {
     "2024-01-01 25:00": None,
     "2024-01-01 6:30": None,
     "2024-01-01 06:60": None,
+    "2024-01-01 06:30:60": None,
+    "2024-01-01 06:30:15.": None,
+    "2024-01-01 06:30+15:00": None,
+    "2024-01-01 06:30 PST": None,
+    "-2024-01-01": None,
+    "١٢٣٤-01-01": None,
     "2024-01-5T": None,
     "": None,
     "now": None,
@@ -89,6 +99,16 @@ def test_zero_negative_and_leap_stays(spark):
     assert [r.los for r in df.select(los.alias("los")).collect()] == [2.0, 0.0, -2.0]
 
 
+def test_typed_dates_give_whole_milliseconds(spark):
+    df = spark.sql("SELECT TIMESTAMP_NTZ'2024-01-01 06:30:15.25' n, DATE'2024-01-01' d, "
+                   "TIMESTAMP'2024-01-01 06:30:15.25Z' t")
+    kinds = {f.name: f.dataType for f in df.schema}
+    out = df.select([epoch_millis(F.col(c), kinds[c]).alias(c) for c in df.columns])
+    assert {f.dataType.simpleString() for f in out.schema} == {"bigint"}
+    origin, clock = 19_723 * DAY_MS, 6 * HOUR + 1_815_250
+    assert tuple(out.first()) == (origin + clock, origin, origin + clock)
+
+
 def test_other_types_are_refused(spark):
     with pytest.raises(TypeError):
         epoch_millis(F.col("x"), T.IntegerType())

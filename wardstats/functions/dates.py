@@ -52,7 +52,7 @@ def epoch_millis(value: Column, dtype: T.DataType) -> Column:
         clock = (
             F.hour(value) * 3_600_000
             + F.minute(value) * 60_000
-            + F.floor(F.date_part(F.lit("SECOND"), value) * 1000)
+            + F.floor(F.date_part(F.lit("SECOND"), value) * 1000).cast("int")
         )
         return F.unix_date(value.cast("date")).cast("bigint") * F.lit(DAY_MS) + clock
     if isinstance(dtype, T.StringType):
