@@ -8,8 +8,8 @@ import duckdb
 import pandas as pd
 from pyspark.sql import types as T
 
-from checks.compare import rows_of_sql
-from checks.oracle import statement
+from wardstats_checks.compare import rows_of_sql
+from wardstats_checks.oracle import statement
 from wardstats import AdmissionTable, ColumnMap
 
 COLS = ColumnMap()

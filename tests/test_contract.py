@@ -3,8 +3,8 @@
 import pytest
 
 import __spark_entry__ as contract
-from checks.compare import differences, duckdb_over, rows_of_spark, rows_of_sql
-from checks.plans import plan_of
+from wardstats_checks.compare import differences, duckdb_over, rows_of_spark, rows_of_sql
+from wardstats_checks.plans import plan_of
 from tests.test_plans import check
 from wardstats import REPORTS
 

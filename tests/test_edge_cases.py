@@ -4,7 +4,7 @@ from decimal import Decimal
 
 import pytest
 
-from checks.compare import differences, rows_of_spark
+from wardstats_checks.compare import differences, rows_of_spark
 from tests.helpers import COLS, admission, dicts, sql_rows, table
 from wardstats import REPORTS
 

@@ -7,7 +7,7 @@ import re
 import pytest
 
 import __spark_entry__ as contract
-from checks.plans import executed
+from wardstats_checks.plans import executed
 
 FOLDER = "/root/testdata/sf0.001"
 NARROW = {"q02_los_sample": {"lineitem"}, "q03_overall_average_los": {"lineitem"}}

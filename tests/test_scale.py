@@ -6,8 +6,8 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from checks.compare import differences, rows_of_spark
-from checks.plans import executed
+from wardstats_checks.compare import differences, rows_of_spark
+from wardstats_checks.plans import executed
 from tests.helpers import START, admission, dicts, sql_rows, table
 from tests.test_plans import setting
 from wardstats import REPORTS, AdmissionTable, SummaryTable

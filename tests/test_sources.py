@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from checks.compare import differences, rows_of_spark
+from wardstats_checks.compare import differences, rows_of_spark
 from tests.helpers import COLS, admission, dicts, table
 from wardstats import REPORTS, AdmissionTable, ColumnMap, read_admissions
 
