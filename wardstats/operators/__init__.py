@@ -1,15 +1,15 @@
 from .facts import admission_facts, column_profile, los_sample
 from .priority import priority_combos
-from .shares import share_difference, share_of_total
+from .shares import share_difference, share_of_total, share_totals
 from .stats import (
-    average_billing, average_los, grand_totals, group_stats, merge_stats, patient_days,
-    with_keys, with_parent,
+    average_billing, average_los, grand_totals, group_stats, merge_stats, overall_los,
+    patient_days, with_keys, with_parent,
 )
 from .variance import benchmark_variance, classified_variance
 
 __all__ = [
     "admission_facts", "average_billing", "average_los", "benchmark_variance",
     "classified_variance", "column_profile", "grand_totals", "group_stats", "los_sample",
-    "merge_stats", "patient_days", "priority_combos", "share_difference", "share_of_total",
-    "with_keys", "with_parent",
+    "merge_stats", "overall_los", "patient_days", "priority_combos", "share_difference",
+    "share_of_total", "share_totals", "with_keys", "with_parent",
 ]

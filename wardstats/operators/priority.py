@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..columns import COMBO
-from .shares import share_difference
-from .stats import grand_totals, with_keys
+from .shares import share_difference, share_totals
+from .stats import with_keys
 from .variance import benchmark_variance
 
 
@@ -18,5 +18,5 @@ def priority_combos(stats: DataFrame, keys: tuple[str, ...] = COMBO) -> DataFram
     those with a NULL key, which are themselves never returned.
     """
     variance = benchmark_variance(stats, parent=keys[0])
-    both = share_difference(variance, grand_totals(stats, "n", "los_ms"))
+    both = share_difference(variance, share_totals(stats))
     return with_keys(both, *keys).filter(F.col("over_share") & (F.col("variance_pct") > 0))

@@ -112,17 +112,22 @@ def with_keys(stats: DataFrame, *keys: str) -> DataFrame:
     return stats.filter(F.when(complete, F.col("n")) > 0)
 
 
-def grand_totals(stats: DataFrame, *measures: str, **others: Column) -> Column:
-    """Struct of column totals over a stats frame, as a scalar subquery.
+def grand_totals(stats: DataFrame, **aggs: Column) -> Column:
+    """Struct of aggregates over a whole stats frame, as a scalar subquery.
 
     Its single row is merged from one row per task, so no task ever holds the
-    frame; ``others`` adds further named aggregates.
+    frame. Every use of a field plans the subquery again (though it runs once),
+    so aggregates are best taken as far as they go in ``aggs``.
     """
-    parts = [F.sum(m).alias(m) for m in measures]
-    parts += [agg.alias(name) for name, agg in others.items()]
+    parts = [agg.alias(name) for name, agg in aggs.items()]
     return stats.agg(F.struct(*parts).alias("totals")).scalar()
 
 
+def overall_los() -> Column:
+    """Aggregate: mean stay over all rows behind a stats frame, in days."""
+    return ratio(in_days(F.sum("los_ms")), F.sum("los_n"))
+
+
 def with_parent(stats: DataFrame, parent: str, **aggs: Column) -> DataFrame:
     """Add per-``parent`` aggregates of a stats frame to each of its rows.
 

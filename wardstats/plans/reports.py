@@ -16,9 +16,9 @@ from ..functions.dates import in_days
 from ..functions.ratios import ratio
 from ..operators.facts import column_profile, los_sample
 from ..operators.priority import priority_combos
-from ..operators.shares import share_difference, share_of_total
+from ..operators.shares import share_difference, share_of_total, share_totals
 from ..operators.stats import (
-    average_billing, average_los, grand_totals, patient_days, with_keys, with_parent,
+    average_billing, average_los, grand_totals, overall_los, patient_days, with_keys, with_parent,
 )
 from ..operators.variance import benchmark_variance, classified_variance
 
@@ -40,8 +40,7 @@ def _total_days() -> Column:
 
 
 def _overall_los(stats: DataFrame) -> Column:
-    totals = grand_totals(stats, "los_ms", "los_n")
-    return ratio(in_days(totals["los_ms"]), totals["los_n"])
+    return grand_totals(stats, los=overall_los())["los"]
 
 
 # Data validation
@@ -64,7 +63,7 @@ def q03_overall_average_los(table) -> DataFrame:
 
 def q04_admissions_by_condition(table) -> DataFrame:
     stats = table.by(CONDITION)
-    share = share_of_total(F.col("n"), grand_totals(stats, "n")["n"])
+    share = share_of_total(F.col("n"), grand_totals(stats, n=F.sum("n"))["n"])
     return stats.select(CONDITION, _count(), _rounded(share, 2, "pct_of_admissions")).orderBy(
         F.desc("admission_count"), CONDITION
     )
@@ -96,10 +95,9 @@ def q07_combos_above_average_los(table) -> DataFrame:
 def q08_high_volume_high_los_combos(table) -> DataFrame:
     stats = table.by(*COMBO, los=True)
     complete = F.col(CONDITION).isNotNull() & F.col(ADMISSION_TYPE).isNotNull()
-    totals = grand_totals(stats, "n", "los_ms", "los_n", combos=F.count_if(complete))
-    mean_volume = ratio(totals["n"], totals["combos"])
-    mean_los = ratio(in_days(totals["los_ms"]), totals["los_n"])
-    high = stats.filter((F.col("n") > mean_volume) & (average_los() > mean_los))
+    mean_volume = ratio(F.sum("n"), F.count_if(complete))
+    means = grand_totals(stats, volume=mean_volume, los=overall_los())
+    high = stats.filter((F.col("n") > means["volume"]) & (average_los() > means["los"]))
     return high.select(*COMBO, _count(), _average_los()).orderBy(F.desc("admission_count"), *COMBO)
 
 
@@ -270,8 +268,8 @@ def q23_patient_days_above_benchmark(table) -> DataFrame:
 
 def q24_patient_day_share(table) -> DataFrame:
     stats = table.by(*COMBO, los=True)
-    total = grand_totals(stats, "los_ms")["los_ms"]
-    share = share_of_total(patient_days(), in_days(total))
+    total = grand_totals(stats, days=in_days(F.sum("los_ms")))["days"]
+    share = share_of_total(patient_days(), total)
     return stats.orderBy(F.desc("los_ms"), *COMBO).select(
         *COMBO, _count(), _total_days(), _rounded(share, 2, "pct_of_days")
     )
@@ -279,7 +277,7 @@ def q24_patient_day_share(table) -> DataFrame:
 
 def _shares(table) -> DataFrame:
     stats = table.by(*COMBO, los=True)
-    return share_difference(stats, grand_totals(stats, "n", "los_ms"))
+    return share_difference(stats, share_totals(stats))
 
 
 def _share_columns() -> list[Column]:
