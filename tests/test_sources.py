@@ -54,3 +54,10 @@ def test_typed_columns_give_the_same_report(spark):
 def test_table_without_provider_serves_the_other_reports(spark):
     raw = table(spark, ROWS).raw.drop(COLS.provider)
     assert len(dicts(REPORTS["q10_total_patient_days"](AdmissionTable(raw)))) == 4
+
+
+def test_column_names_are_found_in_any_case(spark):
+    raw = table(spark, [admission("Flu", "Urgent", "x", "y")]).raw
+    lower = AdmissionTable(raw.toDF(*[c.lower() for c in raw.columns]))
+    assert dicts(REPORTS["q13_billing_by_combo"](lower))[0]["total_billing"] == 0.0
+    assert sum(r["n_invalid"] for r in dicts(REPORTS["q01_column_profile"](lower))) == 2

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CONDITION = "condition"
 ADMISSION_TYPE = "admission_type"
@@ -40,3 +41,12 @@ class ColumnMap:
 def raw_column(name: str) -> Column:
     """A column by its literal name, which may hold spaces, dots, % or $."""
     return F.col("`" + name.replace("`", "``") + "`")
+
+
+def same_name(a: str, b: str) -> bool:
+    return a.lower() == b.lower()
+
+
+def type_of(raw: DataFrame, name: str) -> T.DataType | None:
+    """Type of a raw column, found like Spark finds it, or None."""
+    return next((f.dataType for f in raw.schema.fields if same_name(f.name, name)), None)

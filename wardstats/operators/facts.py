@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..columns import ColumnMap, raw_column
+from ..columns import ColumnMap, raw_column, same_name, type_of
 from ..functions.dates import epoch_millis, in_days, los_millis
 from ..functions.money import clean_currency, is_bad_currency
 
@@ -17,23 +17,26 @@ def admission_facts(raw: DataFrame, cols: ColumnMap = ColumnMap()) -> DataFrame:
     read, and the parser parse, only those. Fields the raw table lacks are
     left out, so a table without a provider still serves the other reports.
     """
-    types = {f.name: f.dataType for f in raw.schema.fields}
     facts = [
         raw_column(source).alias(name)
         for name, source in cols.dimensions().items()
-        if source in types
+        if type_of(raw, source)
     ]
-    if cols.admit in types and cols.discharge in types:
-        los = los_millis(
-            raw_column(cols.admit), types[cols.admit],
-            raw_column(cols.discharge), types[cols.discharge],
-        )
-        facts.append(los.alias("los_ms"))
-    if cols.billing in types:
-        facts.append(clean_currency(raw_column(cols.billing), types[cols.billing]).alias("billing"))
+    if type_of(raw, cols.admit) and type_of(raw, cols.discharge):
+        facts.append(_stay(raw, cols).alias("los_ms"))
+    if type_of(raw, cols.billing):
+        billing = clean_currency(raw_column(cols.billing), type_of(raw, cols.billing))
+        facts.append(billing.alias("billing"))
     return raw.select(*facts)
 
 
+def _stay(raw: DataFrame, cols: ColumnMap) -> Column:
+    return los_millis(
+        raw_column(cols.admit), type_of(raw, cols.admit),
+        raw_column(cols.discharge), type_of(raw, cols.discharge),
+    )
+
+
 def column_profile(raw: DataFrame, cols: ColumnMap = ColumnMap()) -> DataFrame:
     """Type, row count, NULLs and unreadable values of every raw column.
 
@@ -43,9 +46,9 @@ def column_profile(raw: DataFrame, cols: ColumnMap = ColumnMap()) -> DataFrame:
     counts, rows = [F.count(F.lit(1)).alias("n_rows")], []
     for i, field in enumerate(raw.schema.fields):
         value = raw_column(field.name)
-        if field.name in (cols.admit, cols.discharge):
+        if same_name(field.name, cols.admit) or same_name(field.name, cols.discharge):
             bad = value.isNotNull() & epoch_millis(value, field.dataType).isNull()
-        elif field.name == cols.billing:
+        elif same_name(field.name, cols.billing):
             bad = is_bad_currency(value, field.dataType)
         else:
             bad = F.lit(False)
@@ -63,12 +66,17 @@ def column_profile(raw: DataFrame, cols: ColumnMap = ColumnMap()) -> DataFrame:
 
 
 def los_sample(raw: DataFrame, cols: ColumnMap = ColumnMap(), rows: int = 10) -> DataFrame:
-    """The first ``rows`` admissions by date with their length of stay in days."""
-    types = {f.name: f.dataType for f in raw.schema.fields}
+    """The first ``rows`` admissions by date with their length of stay in days.
+
+    The stay follows from the two dates, so they alone order the rows, and only
+    the rows kept are parsed.
+    """
     admit, discharge = raw_column(cols.admit), raw_column(cols.discharge)
-    los = in_days(los_millis(admit, types[cols.admit], discharge, types[cols.discharge]))
     return (
-        raw.select(admit.alias("admit"), discharge.alias("discharge"), los.alias("los"))
-        .orderBy("admit", "discharge", "los")
+        raw.orderBy(admit, discharge)
         .limit(rows)
+        .select(
+            admit.alias("admit"), discharge.alias("discharge"),
+            in_days(_stay(raw, cols)).alias("los"),
+        )
     )
