@@ -78,14 +78,15 @@ def _one_shape(stats: DataFrame, los: bool, billing: bool) -> DataFrame:
     A report reads the frame more than once: its rows, their totals, their
     per-condition sums. Column pruning would leave each reader an aggregate of
     its own, hence its own scan of the admissions. The filter below always
-    holds, but names every partial, so the readers' aggregates stay equal and
-    Spark runs their scan and shuffle once (ReusedExchange).
+    holds, as counts are never negative, but names every partial: the readers'
+    aggregates stay equal, and Spark runs their scan and shuffle once
+    (ReusedExchange).
     """
     holds = [F.col("n") >= 0]
     if los:
-        holds += [F.col("n") >= F.col("los_n"), (F.col("los_n") == 0) == F.col("los_ms").isNull()]
+        holds.append((F.col("los_n") >= 0) | F.col("los_ms").isNull())
     if billing:
-        holds += [F.col("n") >= F.col("bill_n"), (F.col("bill_n") == 0) == F.col("bill_sum").isNull()]
+        holds.append((F.col("bill_n") >= 0) | F.col("bill_sum").isNull())
     return stats.filter(reduce(lambda a, b: a & b, holds))
 
 

@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # One scan and shuffle for all readers of a group statistic.
     "spark.sql.exchange.reuse": "true",
+    # A sum that overflows fails instead of turning NULL.
+    "spark.sql.ansi.enabled": "true",
     # No stack trace per column expression: halves the time to build a plan.
     "spark.sql.dataFrameQueryContext.enabled": "false",
     "spark.python.sql.dataFrameDebugging.enabled": "false",
