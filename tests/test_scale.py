@@ -105,6 +105,19 @@ def test_reports_agree_with_each_other(stored):
     assert answer("q28_priority_condition")[0]["condition"] in {r["condition"] for r in priority}
 
 
+def test_largest_variances_with_ties_and_negative_benchmarks(spark):
+    pick = random.Random(5)
+    clean = [
+        (f"c{pick.randrange(300)}", pick.choice("uvwxyz"), "p", 1, pick.choice([-6, -4, -3, -2, 1, 2, 4]))
+        for _ in range(2500)
+    ]
+    name = "q19_largest_variance_per_condition"
+    ours = rows_of_spark(REPORTS[name](raw_table(spark, clean)))
+    assert differences(ours, sql_rows(name, clean)) is None
+    conditions = [row[ours[0].index("condition")] for row in ours[1]]
+    assert len(conditions) > len(set(conditions)) > 250
+
+
 def test_hot_condition_with_many_groups_is_split(spark):
     """One condition holds most groups; its join partition is cut up."""
     raw = spark.range(120_000).select(
