@@ -11,6 +11,7 @@ from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,7 +64,7 @@ def shuffle_width(spark: SparkSession) -> int:
 def slices(batches: Iterator[pa.RecordBatch], text: str, size: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """The batches in runs of rows with about ``size`` bytes of text each (one row at least)."""
     for batch in batches:
-        lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(text)), 0).to_pylist()
+        lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist()
         start = total = 0
         for i, n in enumerate(lengths):
             if total and total + n > size:
