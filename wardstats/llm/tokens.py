@@ -6,7 +6,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 END_ID = 1
-MEMO_WORDS = 400_000
+MEMO_WORDS = 1_000_000
 
 
 def _byte_letters() -> dict[int, str]:
