@@ -24,9 +24,11 @@ def components(links: DataFrame) -> DataFrame:
     state = _state(edges)
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        # Written first: a join of two plain shuffles can split a node with very many links.
+        least = stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least")
         large = both.join(least, "a").where("b >= a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        large = stored(large, "large-stars")
+        least = stored(large.groupBy("a").agg(F.min("b").alias("m")), "least")
         tied = large.join(least, "a")
         small = tied.select("a", F.col("m").alias("b")).unionByName(tied.select(F.col("b").alias("a"), F.col("m").alias("b"))).distinct()
         edges = stored(small, "stars")

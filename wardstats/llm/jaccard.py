@@ -94,12 +94,14 @@ def sketches(texts: DataFrame, similar: int = SIMILAR) -> DataFrame:
 def candidate_groups(sketched: DataFrame) -> DataFrame:
     """(key, uid): the rarer parts of the texts that have enough parts in common with others; similar texts share a key."""
     parts = sketched.select("uid", "band", "spare", F.explode("keys").alias("key"))
-    common = parts.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    # Counts are written first: a join of two plain shuffles can split a hot key.
+    common = stored(parts.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "common")
     shared = parts.join(common, "key").groupBy("uid", "band", "spare").agg(F.collect_list(F.struct("n", "key")).alias("keys"))
     rare = F.slice(F.array_sort("keys"), F.lit(1), F.size("keys") - F.col("spare"))
     groups = shared.where(F.size("keys") > F.col("spare")).select("uid", F.explode(rare).alias("k"))
     groups = groups.select(F.col("k.key").alias("key"), "uid")
-    again = groups.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    groups = stored(groups, "rare")
+    again = stored(groups.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "again")
     return stored(groups.join(again, "key"), "candidates")
 
 
@@ -136,7 +138,7 @@ def similar_components(texts: DataFrame, sketched: DataFrame, similar: int = SIM
     """
     groups = candidate_groups(sketched)
     alive = stored(texts.select("uid", "text").join(groups.select("uid").distinct(), "uid"), "alive")
-    leaders = groups.groupBy("key").agg(F.min("uid").alias("a"))
+    leaders = stored(groups.groupBy("key").agg(F.min("uid").alias("a")), "leaders")
     star = groups.join(leaders, "key").where("a < uid").select("a", F.col("uid").alias("b"))
     tried = stored(star.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "pairs")
     links = verified(tried, alive, similar)
@@ -155,9 +157,9 @@ def similar_components(texts: DataFrame, sketched: DataFrame, similar: int = SIM
     labels = stored(components(links), "labels")
     tried = tried.unionByName(more)
 
-    own = labelled(groups, "uid", "l")
+    own = stored(labelled(groups, "uid", "l"), "labelled")
     open_keys = own.groupBy("key").agg(F.min("l").alias("first"), F.max("l").alias("last")).where("first < last").select("key")
-    left = stored(own.join(open_keys, "key"), "open")
+    left = stored(own.join(stored(open_keys, "open-keys"), "key"), "open")
     right = left.select("key", F.col("uid").alias("b"), F.col("l").alias("lb"))
     cross = left.withColumnRenamed("uid", "a").join(right, "key").where("a < b and l <> lb").select("a", "b")
     rest = stored(cross.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")

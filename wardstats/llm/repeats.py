@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import slices, stored
-from .windows import distinct_texts, packed_strings, per_document, super_windows, windows_by_minimiser, with_spans
+from .windows import answered_windows, distinct_texts, packed_strings, per_document, super_windows, windows_by_minimiser, with_spans
 from .words import _BYTE, U64, covered, maximal_runs, mix, text_bytes
 
 SIZE, DIGIT = 200, 100
@@ -60,30 +60,20 @@ def _cut(column: pa.Array, wanted: list[list[tuple[int, int]]], size: int) -> li
     return [[raw[a + s : a + s + n + size - 1] for s, n in own] for a, own in zip(at.tolist(), wanted)]
 
 
-def _ordered(strings: DataFrame, size: int) -> DataFrame:
-    """(mini, window, weight, uid, start): the distinct suffixes of each bucket with their weights, and those that ask."""
+def _ordered(column: pa.Array, mini: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
+    """The suffixes of packed strings to their depth; equal ones of a bucket get one number."""
+    data, at = text_bytes(column)
+    count = np.diff(at) - (size - 1)
+    owner = np.repeat(np.arange(len(count)), count)
+    inside = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+    if not len(owner):
+        return owner, inside, owner, owner
+    rows = np.lib.stride_tricks.sliding_window_view(data, size)[at[owner] + inside]
+    return owner, inside, _hashes(rows).view(np.int64), radix_groups(mini[owner], rows)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "packed", 250_000):
-            data, at = text_bytes(batch.column("packed"))
-            count = np.diff(at) - (size - 1)
-            owner = np.repeat(np.arange(len(count)), count)
-            inside = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
-            rows = np.lib.stride_tricks.sliding_window_view(data, size)[at[owner] + inside]
-            mini, weight, uid, start = (np.array(batch.column(c), np.int64) for c in ("mini", "weight", "uid", "start"))
-            group = radix_groups(mini[owner], rows)
-            names = _hashes(rows).view(np.int64)
-            _, first, back = np.unique(group, return_index=True, return_inverse=True)
-            total = np.bincount(back, weights=weight[owner]).astype(np.int64)
-            asks = np.array(batch.column("asks").to_pylist(), bool)[owner]
-            both = [
-                np.concatenate([mini[owner][first], mini[owner][asks]]), np.concatenate([names[first], names[asks]]),
-                np.concatenate([total, weight[owner][asks]]),
-            ]
-            places = [pa.concat_arrays([pa.nulls(len(first), pa.int64()), pa.array(a[asks], pa.int64())]) for a in (uid[owner], start[owner] + inside)]
-            yield pa.RecordBatch.from_arrays([*(pa.array(a, pa.int64()) for a in both), *places], ["mini", "window", "weight", "uid", "start"])
-
-    return strings.mapInArrow(run, "mini long, window long, weight long, uid long, start long")
+
+def _total(group: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    return np.bincount(group, weights=weight).astype(np.int64)
 
 
 def _hashes(rows: np.ndarray) -> np.ndarray:
@@ -101,8 +91,9 @@ def repeated_spans(texts: DataFrame, size: int = SIZE, digit: int = DIGIT) -> Da
         return super_windows(data, at, size, digit, _BYTE)
 
     every = windows_by_minimiser(texts, run, "suffix-runs")
-    shared = every.groupBy("mini").agg(F.sum("weight").alias("total")).where("total > 1")
-    live = stored(every.join(shared.select("mini"), "mini"), "shared-runs")
+    # Tables of counts are written first: a join of two plain shuffles can split a hot digit.
+    shared = stored(every.groupBy("mini").agg(F.sum("weight").alias("total")).where("total > 1").select("mini"), "shared")
+    live = stored(every.join(shared, "mini"), "shared-runs")
     whole = live.groupBy("mini", "string").agg(F.sum("weight").alias("total"), F.min(F.struct("uid", "start", "windows")).alias("r"))
     whole = stored(whole, "whole-runs")
     done = live.join(whole.where("total > 1").select("mini", "string"), ["mini", "string"])
@@ -110,11 +101,13 @@ def repeated_spans(texts: DataFrame, size: int = SIZE, digit: int = DIGIT) -> Da
 
     # Runs that are alone as a whole meet the other runs of their first digit.
     mixed = whole.groupBy("mini").agg(F.count("*").alias("strings"), F.min("total").alias("least")).where("strings > 1 and least = 1")
-    wanted = whole.join(mixed.select("mini"), "mini").select("r.uid", "r.start", "r.windows", "mini", (F.col("total") == 1).alias("asks"))
-    found = stored(_ordered(packed_strings(texts, wanted, lambda c, w: _cut(c, w, size)), size), "ordered-suffixes")
-    total = found.where("uid is null").groupBy("mini", "window").agg(F.sum("weight").alias("total")).where("total > 1")
-    again = found.where("uid is not null").join(total, ["mini", "window"])
-    return done.unionByName(again.select("uid", "start", F.lit(size).cast("long").alias("length")))
+    mixed = stored(mixed.select("mini", "strings"), "mixed")
+    wanted = whole.join(mixed, "mini").select("r.uid", "r.start", "r.windows", "mini", (F.col("total") == 1).alias("asks"), "strings")
+    strings = packed_strings(texts, wanted, lambda column, own: _cut(column, own, size))
+    again = answered_windows(
+        strings, lambda column, mini: _ordered(column, mini, size), _total, lambda total, weight: total > 1, F.sum, size, "ordered-suffixes"
+    )
+    return done.unionByName(again)
 
 
 def kept_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SIZE, digit: int = DIGIT) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import slices, stored
-from .windows import NO_ID, distinct_texts, packed_strings, per_document, super_windows, windows_by_minimiser, with_spans
+from .windows import NO_ID, answered_windows, distinct_texts, packed_strings, per_document, super_windows, windows_by_minimiser, with_spans
 from .words import Words, covered, runs
 
 WINDOW, CORE = 50, 26
@@ -28,31 +28,24 @@ def _cut(column: pa.Array, wanted: list[list[tuple[int, int]]], size: int) -> li
     return [[words.joined(int(f) + s, int(f) + s + n + size - 1) for s, n in own] for f, own in zip(words.first, wanted)]
 
 
-def _sorted_windows(strings: DataFrame, size: int) -> DataFrame:
-    """Windows of each bucket's strings: (mini, window, weight, uid, start).
+def _sorted(column: pa.Array, mini: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
+    """The windows of packed strings; equal ones of a bucket stand together once sorted and get one number."""
+    words = Words(column)
+    at, hashes = runs(words.hashes, words.first, size)
+    owner = np.searchsorted(words.first, at, "right") - 1
+    order = np.lexsort((hashes, mini[owner]))
+    m, h = mini[owner][order], hashes[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (m[1:] != m[:-1]) | (h[1:] != h[:-1])
+    group = np.zeros(len(order), np.int64)
+    group[order] = np.cumsum(new) - 1
+    return owner, at - words.first[owner], hashes.view(np.int64), group
 
-    Sorted within the task, so a distinct window is one row with its smallest
-    weight and a null uid; windows that ask for an answer are rows of their own.
-    """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "packed"):
-            words = Words(batch.column("packed"))
-            at, hashes = runs(words.hashes, words.first, size)
-            owner = np.searchsorted(words.first, at, "right") - 1
-            mini, weight, uid, start = (np.array(batch.column(c), np.int64) for c in ("mini", "weight", "uid", "start"))
-            asks = np.array(batch.column("asks").to_pylist(), bool)[owner]
-            own = [mini[owner], hashes.view(np.int64), weight[owner], uid[owner], start[owner] + at - words.first[owner]]
-            order = np.lexsort(own[2::-1])
-            new = np.ones(len(order), bool)
-            new[1:] = (np.diff(own[0][order]) != 0) | (np.diff(own[1][order]) != 0)
-            least = [a[order][new] for a in own[:3]]
-            both = [np.concatenate([a, b[asks]]) for a, b in zip(least, own[:3])]
-            k = int(new.sum())
-            places = [pa.concat_arrays([pa.nulls(k, pa.int64()), pa.array(a[asks], pa.int64())]) for a in own[3:]]
-            yield pa.RecordBatch.from_arrays([*(pa.array(a, pa.int64()) for a in both), *places], ["mini", "window", "weight", "uid", "start"])
-
-    return strings.mapInArrow(run, "mini long, window long, weight long, uid long, start long")
+def _least(group: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    out = np.full(group.max(initial=-1) + 1, NO_ID)
+    np.minimum.at(out, group, weight)
+    return out
 
 
 def repeated_spans(texts: DataFrame, size: int = WINDOW, core: int = CORE) -> DataFrame:
@@ -66,22 +59,25 @@ def repeated_spans(texts: DataFrame, size: int = WINDOW, core: int = CORE) -> Da
         return super_windows(words.hashes, words.first, size, core)
 
     every = windows_by_minimiser(texts, run, "super-windows")
-    shared = every.groupBy("mini").agg(F.min("weight").alias("least"), F.max("weight").alias("most")).where("least < most")
-    live = stored(every.join(shared.drop("most"), "mini"), "shared-windows")
-    whole = live.groupBy("mini", "string").agg(F.min("weight").alias("first"), F.min(F.struct("weight", "uid", "start", "windows")).alias("r"))
-    earlier = live.join(whole.select("mini", "string", "first"), ["mini", "string"]).where("first < weight")
-    done = earlier.select("uid", "start", (F.col("windows") + (size - 1)).alias("length"))
-
-    # One of each string's occurrences (all in one document at most ask) meets the bucket's other strings.
-    least = live.groupBy("mini").agg(F.min("weight").alias("least"), F.countDistinct("string").alias("strings")).where("strings > 1")
-    reps = live.join(whole.select("mini", "string", "first", F.col("r.uid").alias("ruid"), F.col("r.start").alias("rstart")), ["mini", "string"])
-    reps = reps.where("first = weight").drop("least").join(least, "mini")
-    wanted = reps.select("uid", "start", "windows", "mini", (F.col("least") < F.col("weight")).alias("asks"), ((F.col("uid") == F.col("ruid")) & (F.col("start") == F.col("rstart"))).alias("own"))
-    wanted = wanted.where("asks or own").drop("own")
-    found = stored(_sorted_windows(packed_strings(texts, wanted, lambda c, w: _cut(c, w, size)), size), "sorted-windows")
-    first = found.where("uid is null").groupBy("mini", "window").agg(F.min("weight").alias("first"))
-    late = found.where("uid is not null").join(first, ["mini", "window"]).where("first < weight")
-    return done.unionByName(late.select("uid", "start", F.lit(size).cast("long").alias("length")))
+    # Tables of counts are written first: a join of two plain shuffles can split a hot minimiser.
+    shared = stored(every.groupBy("mini").agg(F.min("weight").alias("least"), F.max("weight").alias("most")).where("least < most"), "shared")
+    live = stored(every.join(shared.select("mini"), "mini"), "shared-windows")
+    whole = live.groupBy("mini", "string").agg(F.min(F.struct("weight", "uid", "start")).alias("r"))
+    whole = stored(whole.select("mini", "string", F.col("r.weight").alias("first"), F.col("r.uid").alias("ruid"), F.col("r.start").alias("rstart")), "strings")
+    met = stored(live.join(whole, ["mini", "string"]), "met")
+    done = met.where("first < weight").select("uid", "start", (F.col("windows") + (size - 1)).alias("length"))
+
+    # One of each string's occurrences (all in its first document at most ask) meets the bucket's other strings.
+    mixed = whole.groupBy("mini").agg(F.min("first").alias("least"), F.count("*").alias("strings")).where("strings > 1")
+    mixed = stored(mixed, "mixed")
+    reps = met.where("first = weight").join(mixed, "mini")
+    reps = reps.where("least < weight or (uid = ruid and start = rstart)")
+    wanted = reps.select("uid", "start", "windows", "mini", (F.col("least") < F.col("weight")).alias("asks"), "strings")
+    strings = packed_strings(texts, wanted, lambda column, own: _cut(column, own, size))
+    late = answered_windows(
+        strings, lambda column, mini: _sorted(column, mini, size), _least, lambda first, weight: first < weight, F.min, size, "sorted-windows"
+    )
+    return done.unionByName(late)
 
 
 def kept_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = WINDOW, core: int = CORE) -> DataFrame:

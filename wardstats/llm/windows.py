@@ -22,6 +22,9 @@ from .words import _BASE, U64, _powers, mix
 PLACE = U64((1 << 26) - 1)
 SEGMENT = 1 << 20  # symbols looked at together
 NO_ID = (1 << 63) - 1
+BUCKET_STRINGS = 1000  # strings of one minimiser that one task looks at together
+SLICE_STRINGS = 1000
+ANSWER = ["mini", "window", "weight", "uid", "start", "length"]
 
 _grown: list[np.ndarray] = [_powers(_BASE, 1), _powers(_BASE, 1)]
 
@@ -146,8 +149,9 @@ def windows_by_minimiser(texts: DataFrame, run: Callable, label: str) -> DataFra
 def packed_strings(texts: DataFrame, wanted: DataFrame, cut: Callable) -> DataFrame:
     """The strings of some super-windows, cut from their texts and sent to their minimiser's bucket.
 
-    ``wanted``: (uid, start, windows, mini, asks). Buckets are salted by the
-    string, so that a minimiser with very many strings is dealt over tasks.
+    ``wanted``: (uid, start, windows, mini, asks, strings), the last being the
+    number of strings in the bucket. A bucket of more than ``BUCKET_STRINGS`` is
+    dealt over as many parts as it takes, each in order of the minimisers.
     """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,16 +160,83 @@ def packed_strings(texts: DataFrame, wanted: DataFrame, cut: Callable) -> DataFr
             uid, weight, found = (batch.column(c).to_pylist() for c in ("uid", "weight", "found"))
             strings = cut(batch.column("text"), [[(f["start"], f["windows"]) for f in fs] for fs in found])
             for u, w, fs, own in zip(uid, weight, found, strings):
-                rows += [(f["mini"], w, u, f["start"], f["windows"], f["asks"], s) for f, s in zip(fs, own)]
+                rows += [(f["mini"], f["strings"], w, u, f["start"], f["asks"], s) for f, s in zip(fs, own)]
             kinds = [pa.int64()] * 5 + [pa.bool_(), pa.binary()]
             columns = zip(*rows) if rows else [[]] * 7
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["mini", "weight", "uid", "start", "windows", "asks", "packed"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["mini", "strings", "weight", "uid", "start", "asks", "packed"])
 
-    by_text = wanted.groupBy("uid").agg(F.collect_list(F.struct("start", "windows", "mini", "asks")).alias("found"))
+    by_text = wanted.groupBy("uid").agg(F.collect_list(F.struct("start", "windows", "mini", "asks", "strings")).alias("found"))
     rows = texts.select("uid", "weight", "text").join(by_text, "uid").mapInArrow(
-        emit, "mini long, weight long, uid long, start long, windows long, asks boolean, packed binary"
+        emit, "mini long, strings long, weight long, uid long, start long, asks boolean, packed binary"
     )
-    return rows.withColumn("salt", F.pmod(F.xxhash64("packed"), F.lit(16))).repartition("mini", "salt")
+    parts = F.ceil(F.col("strings") / BUCKET_STRINGS)
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("packed"), parts)).repartition("mini", "part")
+    return rows.sortWithinPartitions("mini", "part")
+
+
+def whole_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by minimiser, in slices of about ``SLICE_STRINGS`` that end where a bucket does."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        mini = np.array(batch.column("mini"), np.int64)
+        ends = np.flatnonzero(mini[1:] != mini[:-1]) + 1
+        if held and len(mini) and held[-1].column("mini")[-1].as_py() != mini[0]:
+            ends = np.concatenate(([0], ends))
+        at, size = 0, sum(h.num_rows for h in held)
+        for end in ends.tolist():
+            if size + end - at >= SLICE_STRINGS:
+                yield pa.concat_batches([*held, batch.slice(at, end - at)])
+                held, at, size = [], end, 0
+        if at < batch.num_rows:
+            held.append(batch.slice(at))
+    if held:
+        yield pa.concat_batches(held)
+
+
+def answered_windows(strings: DataFrame, expand: Callable, fold: Callable, says: Callable, merge, size: int, label: str) -> DataFrame:
+    """(uid, start, length): where the asking strings' windows are repeated.
+
+    ``expand`` gives the windows of some strings (string, place in it, hash,
+    number of its group of equals in one bucket), ``fold`` a value of each group
+    from its strings' weights, and ``says`` whether that value answers a weight.
+    A bucket in one part is answered there and then. Of a bucket in several
+    parts, the groups' values meet by minimiser and hash (``merge``), and the
+    windows not yet answered ask those.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in whole_buckets(batches):
+            mini, uid, weight, start, of = (np.array(batch.column(c), np.int64) for c in ("mini", "uid", "weight", "start", "strings"))
+            asks = np.array(batch.column("asks").to_pylist(), bool)
+            owner, inside, names, group = expand(batch.column("packed"), mini)
+            value = fold(group, weight[owner])
+            yes = asks[owner] & says(value[group], weight[owner])
+            change = np.ones(len(owner), bool)
+            change[1:] = owner[1:] != owner[:-1]
+            first = np.flatnonzero(yes & (change | ~np.concatenate(([False], yes[:-1]))))
+            last = np.flatnonzero(yes & np.concatenate((change[1:] | ~yes[1:], np.ones(min(1, len(yes)), bool))))
+            at = owner[first]
+            yield _answer(uid=uid[at], start=start[at] + inside[first], length=last - first + size)
+            many = of[owner] > BUCKET_STRINGS
+            _, one = np.unique(group[many], return_index=True)
+            one = np.flatnonzero(many)[one]
+            yield _answer(mini=mini[owner[one]], window=names[one], weight=value[group[one]])
+            left = np.flatnonzero(many & asks[owner] & ~yes)
+            at = owner[left]
+            yield _answer(mini=mini[at], window=names[left], weight=weight[at], uid=uid[at], start=start[at] + inside[left])
+
+    found = stored(strings.mapInArrow(run, ", ".join(f"{c} long" for c in ANSWER)), label)
+    done = found.where("length is not null").select("uid", "start", "length")
+    values = stored(found.where("uid is null").groupBy("mini", "window").agg(merge("weight").alias("value")), f"{label}-values")
+    left = found.where("uid is not null and length is null").join(values, ["mini", "window"])
+    left = left.where(says(F.col("value"), F.col("weight")))
+    return done.unionByName(left.select("uid", "start", F.lit(size).cast("long").alias("length")))
+
+
+def _answer(**columns: np.ndarray) -> pa.RecordBatch:
+    n = len(next(iter(columns.values())))
+    arrays = [pa.array(columns[c], pa.int64()) if c in columns else pa.nulls(n, pa.int64()) for c in ANSWER]
+    return pa.RecordBatch.from_arrays(arrays, ANSWER)
 
 
 def with_spans(texts: DataFrame, spans: DataFrame) -> DataFrame:
