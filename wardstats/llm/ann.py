@@ -22,10 +22,10 @@ from pyspark.sql import functions as F
 from .common import stored
 
 SAMPLE = 20_000  # vectors that centroids are fitted on
-LIST_SIZE = 256  # mean length of a list
+LIST_SIZE = 1024  # mean length of a list
 MOST_LISTS = 16_384
 REPLICAS, REPLICA_RATIO = 4, 1.1
-SEARCH_RATIO = 1.16
+SEARCH_RATIO = 1.08
 LEAST_SEEN = 8  # a query's lists hold at least this many times k vectors
 BEAM = 24
 DEGREE = 16
@@ -185,16 +185,13 @@ def search(
         return out.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
-        ids = np.array(left.column("id"), np.int64)
         found = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
         if len(left) and len(right):
-            x, q = _matrix(left.column("v").combine_chunks()), _matrix(right.column("v").combine_chunks())
-            asked_ids = np.array(right.column("id"), np.int64)
-            for i in range(0, len(q), 256):
-                part = [*zip(*(_nearest(x, ids, v, own, k) for v, own in zip(q[i : i + 256], asked_ids[i : i + 256])))]
-                own = np.repeat(asked_ids[i : i + 256], [len(p) for p in part[0]])
-                found = [np.concatenate([a, b]) for a, b in zip(found, (own, np.concatenate(part[0]), np.concatenate(part[1])))]
-        return pa.table([pa.array(found[0], pa.int64()), pa.array(found[1], pa.int64()), pa.array(found[2])], ["query_id", "vec_id", "score"])
+            x, q = (_matrix(t.column("v").combine_chunks()) for t in (left, right))
+            ids, own = (np.array(t.column("id"), np.int64) for t in (left, right))
+            parts = [_nearest(x, ids, q[i : i + 256], own[i : i + 256], k) for i in range(0, len(q), 256)]
+            found = [np.concatenate(column) for column in zip(*parts)]
+        return pa.table([pa.array(a) for a in found], ["query_id", "vec_id", "score"])
 
     sides = [cells(t, a, b).groupBy("l", "down", "across") for t, a, b in ((postings, "down", "across"), (probes, "across", "down"))]
     pairs = sides[0].cogroup(sides[1]).applyInArrow(compare, "query_id long, vec_id long, score double")
@@ -203,14 +200,23 @@ def search(
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _nearest(x: np.ndarray, ids: np.ndarray, q: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The k nearest rows of one chunk: roughly by matrix product, then in one fixed order of additions."""
-    rough = x @ q
-    rough[ids == own] = -np.inf
-    some = np.arange(len(x)) if len(x) <= k else np.flatnonzero(rough >= np.partition(rough, -k)[-k] - 1e-9 * (1 + np.abs(rough[np.isfinite(rough)]).max(initial=0)))
-    some = some[ids[some] != own]
-    exact = np.zeros(len(some))
-    for d in range(len(q)):
-        exact += x[some, d] * q[d]
-    order = np.lexsort((ids[some], -exact))[:k]
-    return ids[some][order], exact[order]
+def _nearest(x: np.ndarray, ids: np.ndarray, q: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """(query id, id, score) of each query's k nearest rows of one chunk.
+
+    Found roughly by a matrix product, whose last digits may differ between
+    equal rows; all that are as near as the k-th but for such digits are then
+    computed in one fixed order of additions.
+    """
+    rough = q @ x.T
+    slack = 1e-9 * (1 + np.abs(rough).max())
+    rough[own[:, None] == ids[None]] = -np.inf
+    floor = np.partition(rough, len(ids) - k, axis=1)[:, len(ids) - k] - slack if len(ids) > k else np.full(len(q), -np.inf)
+    row, col = np.nonzero((rough >= floor[:, None]) & np.isfinite(rough))
+    exact = np.zeros(len(row))
+    for d in range(q.shape[1]):
+        exact += x[col, d] * q[row, d]
+    order = np.lexsort((ids[col], -exact, row))
+    row, col, exact = row[order], col[order], exact[order]
+    rank = np.arange(len(row)) - np.searchsorted(row, row)
+    best = rank < k
+    return own[row[best]], ids[col[best]], exact[best]
