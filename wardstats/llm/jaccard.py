@@ -58,7 +58,7 @@ def sketch_keys(shingles: np.ndarray, size: int, band: int, similar: int = SIMIL
     not empty.
     """
     low = 4**band
-    spare = low // 16
+    spare = low // 4
     differ = int((size + size * 100 // similar) * (100 - similar) // (100 + similar))
     parts = max(16 * low, 4096)
     part = (shingles >> U64(32)) % U64(parts)
