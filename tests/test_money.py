@@ -67,3 +67,11 @@ def test_numeric_charges(spark, kind):
 def test_nan_is_missing(spark):
     df = spark.createDataFrame([(float("nan"),)], "n double")
     assert df.select(clean_currency(F.col("n"), T.DoubleType()).alias("v")).first().v is None
+
+
+def test_only_ascii_digits_and_blanks_count(spark):
+    texts = ["\u0661\u0662", "1\u0662", "\u00a05", " 5", "\x015"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        clean_currency(F.col("t"), T.StringType()).cast("double"), is_bad_currency(F.col("t"), T.StringType())
+    ).collect()
+    assert [tuple(r) for r in rows] == [(0.0, True), (1.0, False), (0.0, True), (5.0, False), (0.0, True)]

@@ -12,6 +12,14 @@ MONEY = T.DecimalType(28, 10)
 LEADING_NUMBER = r"^\s*([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?)"
 
 
+# Texts that Spark's own cast reads as the rules do: no odd digits or blanks.
+PLAIN_TEXT = r"^[ -~]*$"
+
+
+def _plain_number(bare: Column) -> Column:
+    return F.when(bare.rlike(PLAIN_TEXT), bare.try_cast(MONEY))
+
+
 def _without_currency(text: Column) -> Column:
     empty = F.lit("")
     return F.replace(F.replace(text, F.lit("$"), empty), F.lit(","), empty)
@@ -36,7 +44,7 @@ def clean_currency(value: Column, dtype: T.DataType) -> Column:
         dirty = F.when(leading == "", F.lit(0).cast(MONEY)).otherwise(
             F.coalesce(leading.try_cast(MONEY), _out_of_range(value))
         )
-        return F.when(value.isNotNull(), F.coalesce(bare.try_cast(MONEY), dirty))
+        return F.when(value.isNotNull(), F.coalesce(_plain_number(bare), dirty))
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
         value = F.when(~F.isnan(value), value)
     return F.when(value.isNotNull(), F.coalesce(value.try_cast(MONEY), _out_of_range(value)))
@@ -47,7 +55,7 @@ def is_bad_currency(value: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.StringType):
         bare = _without_currency(value)
         leading = F.regexp_extract(bare, LEADING_NUMBER, 1)
-        number = F.coalesce(bare.try_cast(MONEY), leading.try_cast(MONEY))
+        number = F.coalesce(_plain_number(bare), leading.try_cast(MONEY))
     else:
         number = value.try_cast(MONEY)
     return value.isNotNull() & number.isNull()
