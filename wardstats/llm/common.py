@@ -52,6 +52,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Delete a table that ``stored`` has written and nothing reads any more."""
+    files = table.inputFiles()
+    if files:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(files[0].rsplit("/", 1)[0])
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def text_key(text: Column) -> Column:
     """128 bits that stand for a text; a null text is empty."""
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))

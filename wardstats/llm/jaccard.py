@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, stored, text_key
+from .common import discard, slices, stored, text_key
 from .components import components
 from .windows import Ranges, distinct_texts, per_document
 from .words import U64, Words, mix, runs
@@ -102,7 +102,10 @@ def candidate_groups(sketched: DataFrame) -> DataFrame:
     groups = groups.select(F.col("k.key").alias("key"), "uid")
     groups = stored(groups, "rare")
     again = stored(groups.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "again")
-    return stored(groups.join(again, "key"), "candidates")
+    found = stored(groups.join(again, "key"), "candidates")
+    for table in (common, groups, again):
+        discard(table)
+    return found
 
 
 def verified(pairs: DataFrame, texts: DataFrame, similar: int = SIMILAR) -> DataFrame:
@@ -134,9 +137,10 @@ def similar_components(texts: DataFrame, sketched: DataFrame, similar: int = SIM
     Texts first meet the smallest of one group, then of all their groups, and
     last every text of their groups that is not in their component yet. So a
     group of copies costs a link each, and no pair that could join two
-    components is left out.
+    components is left out. The sketches are deleted once they have been met.
     """
     groups = candidate_groups(sketched)
+    discard(sketched)
     alive = stored(texts.select("uid", "text").join(groups.select("uid").distinct(), "uid"), "alive")
     leaders = stored(groups.groupBy("key").agg(F.min("uid").alias("a")), "leaders")
     star = groups.join(leaders, "key").where("a < uid").select("a", F.col("uid").alias("b"))
@@ -170,7 +174,7 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similar: i
     """(hash, n_shingles, label, component) of every distinct text; ``component`` is its component's smallest id."""
     texts = distinct_texts(docs, key, text)
     sketched = sketches(texts, similar)
-    sizes = sketched.groupBy("uid").agg(F.first("n_shingles").alias("n_shingles"))
+    sizes = stored(sketched.groupBy("uid").agg(F.first("n_shingles").alias("n_shingles")), "sizes")
     labels = similar_components(texts, sketched, similar)
     ids = texts.select("uid", "hash", "first_id").join(sizes, "uid").join(labels.withColumnRenamed("node", "uid"), "uid", "left")
     ids = stored(ids.select("hash", "first_id", "n_shingles", F.coalesce("label", "uid").alias("label")), "classes")
@@ -197,8 +201,15 @@ def first_of_components(docs: DataFrame, key: str = "doc_id", text: str = "text"
     Null ids come last. Of several rows with that id in the component any one stays.
     """
     found = classes(docs, key, text, similar)
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(key).cast("long").alias("id"), text_key(F.col(text)).alias("hash"))
-    rows = rows.join(found, "hash").where("n_shingles = 0 or id <=> component")
-    firsts = rows.where("n_shingles > 0").groupBy("label").agg(F.first("row").alias("row"))
-    both = rows.where("n_shingles = 0").select("row").unionByName(firsts.select("row"))
+    own = F.col(key).cast("long")
+    # A null id is told apart by a flag, so that the join's keys also group the rows after it.
+    keys = {"id": F.coalesce(own, F.lit(0).cast("long")), "known": own.isNotNull(), "hash": text_key(F.col(text))}
+    ids = docs.select(*[c.alias(n) for n, c in keys.items()]).distinct().join(found, "hash")
+    first = F.when(F.col("known"), F.col("id")).eqNullSafe(F.col("component"))
+    one = ids.where(first & (F.col("n_shingles") > 0)).groupBy("label").agg(F.min(F.struct("id", "known", "hash")).alias("k"))
+    one = stored(one.select("k.*"), "firsts")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), *[c.alias(n) for n, c in keys.items()])
+    blank = rows.where(~F.coalesce(F.col("row")[text], F.lit("")).rlike(r"[^\x20\x09-\x0D]")).select("row")
+    firsts = rows.join(one, [*keys]).groupBy(*keys).agg(F.first("row").alias("row"))
+    both = firsts.select("row").unionByName(blank)
     return both.select(*[F.col("row")[c].alias(c) for c in docs.columns])
