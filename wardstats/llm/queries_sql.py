@@ -1 +1,137 @@
-ORACLE: dict[str, str] = {}
+"""The corpus queries that SQL can express, over whole tables, for DuckDB.
+
+They count and compare plainly, without the operators' methods: every window,
+shingle or byte string is spelt out. Packing, language, scores, token files and
+the vector index need a tokenizer, a learned model or an approximate search.
+"""
+
+from __future__ import annotations
+
+from .secrets import BASE, RULES
+
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+ITEM_WORD = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+WORD = r"'[^\x20\x09-\x0D]+'"
+
+DECONTAMINATION = f"""
+WITH item AS (SELECT item_id, regexp_extract_all({LOWER}, {ITEM_WORD}) AS w FROM benchmark),
+item_window AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(w[i:i + 9], ' ') AS win
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM item WHERE len(w) > 0)),
+doc AS (SELECT doc_id, regexp_extract_all({LOWER}, {ITEM_WORD}) AS w FROM documents),
+sized AS (SELECT doc_id, w, size FROM doc JOIN (SELECT DISTINCT size FROM item_window) s ON len(w) >= size),
+doc_window AS (
+  SELECT doc_id, size, i, array_to_string(w[i:i + size - 1], ' ') AS win
+  FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM sized)),
+hit AS (SELECT doc_id, item_id, i, size FROM doc_window JOIN item_window USING (size, win)),
+place AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM hit) GROUP BY doc_id),
+named AS (
+  SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(place.n, 0) AS n_hit, coalesce(named.n, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(place.n, 0) > 0 AS contaminated
+FROM doc LEFT JOIN place USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+JACCARD = f"""
+WITH RECURSIVE doc AS (SELECT doc_id, regexp_extract_all({LOWER}, {WORD}) AS w FROM documents),
+shingle AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM doc WHERE len(w) > 0)),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (
+  SELECT a, b FROM common JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b
+  WHERE 100 * common.n >= 80 * (x.n + y.n - common.n)),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM doc
+  UNION
+  SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b)
+SELECT doc.doc_id, coalesce(any_value(size.n), 0) AS n_shingles, min(reach.b) AS component_id
+FROM doc JOIN reach ON reach.a = doc.doc_id LEFT JOIN size ON size.doc_id = doc.doc_id GROUP BY doc.doc_id
+"""
+
+# A byte is two hex digits; texts are cut in blocks of 1000 starts, so that finding a string is cheap.
+SUFFIX_REPEATS = """
+WITH doc AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+sized AS (SELECT doc_id, h, length(h) // 2 AS n FROM doc),
+block AS (
+  SELECT doc_id, n, pos, substr(h, 2 * pos + 1, 2400) AS part
+  FROM (SELECT doc_id, h, n, unnest(range(0, n - 199, 1000)) AS pos FROM sized WHERE n >= 200)),
+string AS (
+  SELECT doc_id, pos + i AS i, md5(substr(part, 2 * i + 1, 400)) AS s
+  FROM (SELECT doc_id, pos, part, unnest(range(0, least(1000, n - 199 - pos))) AS i FROM block)),
+again AS (SELECT s FROM string GROUP BY s HAVING count(*) > 1),
+start AS (SELECT doc_id, i, i > lag(i, 1, -1000) OVER (PARTITION BY doc_id ORDER BY i) + 200 AS fresh FROM string SEMI JOIN again USING (s)),
+run AS (SELECT doc_id, i, sum(CAST(fresh AS INT)) OVER (PARTITION BY doc_id ORDER BY i) AS r FROM start),
+span AS (SELECT doc_id, r, min(i) AS a, max(i) + 200 AS b FROM run GROUP BY doc_id, r),
+total AS (SELECT doc_id, count(*) AS n, sum(b - a) AS gone FROM span GROUP BY doc_id),
+edge AS (
+  SELECT doc_id, b AS a, lead(a, 1, NULL) OVER w AS b FROM span WINDOW w AS (PARTITION BY doc_id ORDER BY r)
+  UNION ALL SELECT doc_id, 0, min(a) FROM span GROUP BY doc_id),
+kept AS (
+  SELECT doc_id, string_agg(substr(h, 2 * a + 1, 2 * (coalesce(b, n) - a)), '' ORDER BY a) AS k
+  FROM edge JOIN sized USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, sized.n AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, coalesce(total.n, 0) AS n_spans,
+  sha256(unhex(coalesce(k, h))) AS kept_sha256
+FROM sized LEFT JOIN total USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+SUBSTRING_DEDUP = f"""
+WITH doc AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {WORD}) AS w FROM documents),
+win AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM doc WHERE len(w) >= 50)),
+first AS (SELECT s, min(doc_id) AS first_id FROM win GROUP BY s),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p
+  FROM win JOIN first USING (s) WHERE first_id < doc_id),
+word AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM doc),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS k FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(k, '')) AS kept_sha256
+FROM doc LEFT JOIN kept USING (doc_id)
+"""
+
+
+def _secrets() -> str:
+    """Matches and the texts between them take turns, so running lengths give the places."""
+
+    def quoted(text: str) -> str:
+        return "'" + text.replace("'", "''") + "'"
+
+    found = " UNION ALL ".join(
+        f"SELECT doc_id, {quoted(r.kind)} AS kind, {i} AS rank, {r.least} AS least, string_split_regex(t, {p}) AS parts, "
+        f"regexp_extract_all(t, {p}) AS hits, regexp_extract_all(t, {p}, {r.group}) AS kept FROM doc"
+        for i, r in enumerate(RULES)
+        for p in [quoted(r.pattern)]
+    )
+    base = f"rank < {len(BASE)}"
+    counts = ", ".join(f"count(*) FILTER (kind = {quoted(r.kind)}) AS n_{r.kind}" for r in BASE)
+    listed = "string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, rank)"
+    return f"""
+WITH doc AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+found AS ({found}),
+hit AS (
+  SELECT doc_id, kind, rank, least, unnest(parts[:len(hits)]) AS part, unnest(hits) AS hit, unnest(kept) AS kept,
+    unnest(range(1, len(hits) + 1)) AS k
+  FROM found WHERE len(hits) > 0),
+placed AS (
+  SELECT doc_id, kind, rank, least, kept, length(hit) AS n,
+    sum(length(part) + length(hit)) OVER (PARTITION BY doc_id, kind ORDER BY k) AS b FROM hit),
+span AS (SELECT doc_id, kind, rank, CAST(b - n AS BIGINT) AS a, CAST(b AS BIGINT) AS b FROM placed WHERE length(kept) >= least),
+summed AS (SELECT doc_id, {counts}, {listed} FILTER ({base}) AS base, {listed} AS spans FROM span GROUP BY doc_id)
+SELECT doc_id, {", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in BASE)},
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM doc LEFT JOIN summed USING (doc_id)
+"""
+
+
+ORACLE = {
+    "op1_decontamination": DECONTAMINATION,
+    "op3_jaccard_join": JACCARD,
+    "op4_suffix_repeats": SUFFIX_REPEATS,
+    "op8_secrets": _secrets(),
+    "op10_substring_dedup": SUBSTRING_DEDUP,
+}
