@@ -22,7 +22,7 @@ def test_all_reports_are_registered():
     assert len(REPORTS) == 28
     assert sorted(n[:3] for n in REPORTS) == [f"q{i:02d}" for i in range(1, 29)]
     assert set(ADMISSIONS) == contract.oracle_sql().keys() - {*contract.CORPUS, "pipeline"}
-    assert len(ADMISSIONS) == 36
+    assert len(ADMISSIONS) == 36 + len(contract.SUMMARIZED)
     assert set(REPORTS) < set(contract.queries())
 
 

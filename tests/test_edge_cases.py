@@ -6,7 +6,9 @@ import pytest
 
 from wardstats_checks.compare import differences, rows_of_spark
 from tests.helpers import COLS, admission, dicts, sql_rows, table
-from wardstats import REPORTS
+from wardstats import REPORTS, AdmissionTable, ColumnMap, SummaryTable
+from wardstats import operators as op
+from wardstats.columns import COMBO
 
 # Raw (condition, type, days, charge, provider) and its clean (days, charge).
 MESSY = [
@@ -182,3 +184,22 @@ def test_reports_are_ordered(messy):
         assert values[: len(present)] == present, name
     conditions = column("q05_admission_types_within_condition", "condition")
     assert conditions == sorted(conditions, key=lambda c: (c is not None, c))
+
+
+def test_charges_of_any_size_count_in_totals_and_averages(spark):
+    rows = [admission("A", "x", 1, c) for c in ("$1e18", "1e-12", "2.50")] + [admission("B", "x", 1, "1e-12")]
+    wide = table(spark, rows)
+    for source in (wide, SummaryTable(wide.summary())):
+        got = {r["condition"]: r for r in dicts(op.benchmark_variance(source.by(*COMBO, billing=True)))}
+        assert got["A"]["average_billing"] == got["A"]["benchmark"] == (1e18 + 2.5 + 1e-12) / 3
+        assert got["B"]["benchmark"] == 1e-12
+        assert [r["total_billing"] for r in dicts(REPORTS["q13_billing_by_combo"](source))] == [1e18, 0.0]
+
+
+def test_a_missing_mapped_column_is_named(spark):
+    raw = table(spark, [admission("A", "x", 1, 5)]).raw.drop(COLS.provider)
+    assert len(dicts(REPORTS["q13_billing_by_combo"](AdmissionTable(raw)))) == 1
+    with pytest.raises(ValueError, match="Insurance Provider.*ColumnMap.provider"):
+        REPORTS["q12_billing_by_provider"](AdmissionTable(raw))
+    with pytest.raises(ValueError, match="'Charge'.*ColumnMap.billing"):
+        REPORTS["q13_billing_by_combo"](AdmissionTable(raw, ColumnMap(billing="Charge")))

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardstats.functions import clean_currency, is_bad_currency
+from wardstats.functions import clean_currency, currency_rest, is_bad_currency
+from wardstats.operators import total_billing
 
 # text -> (amount, counted as unreadable)
 TEXTS = {
@@ -48,11 +49,32 @@ def test_currency_text(spark):
         assert row.bad is bad, row.t
 
 
-def test_too_large_a_charge_fails_and_is_counted(spark):
-    df = spark.createDataFrame([("1e30",), ("1",)], "t string")
-    assert df.filter(is_bad_currency(F.col("t"), T.StringType())).count() == 1
-    with pytest.raises(Exception, match="does not fit"):
-        df.select(clean_currency(F.col("t"), T.StringType())).collect()
+# text -> (exact part, both parts)
+BEYOND = {
+    "1e18": ("0", 1e18), "$-1e30": ("0", -1e30), "1e-12": ("0", 1e-12), "1e-25x": ("0", 1e-25),
+    "18856.281305978155": ("18856.2813059782", 18856.281305978155), "1.5": ("1.5", 1.5), "x": ("0", 0.0), None: (None, None),
+}
+
+
+def test_charges_beyond_the_decimal_have_a_rest(spark):
+    df = spark.createDataFrame([(t,) for t in BEYOND], "t string")
+    text = F.col("t"), T.StringType()
+    rows = df.select(
+        "t", clean_currency(*text).alias("billing"), currency_rest(*text).alias("billing_rest"), is_bad_currency(*text).alias("bad")
+    ).select("*", total_billing("billing", "billing_rest").alias("both")).collect()
+    for row in rows:
+        part, both = BEYOND[row.t]
+        assert (row.billing, row.both) == (None if part is None else Decimal(part), both), row
+        assert row.bad is (row.t == "x"), row
+        assert row.t not in ("1.5", None) or not row.billing_rest
+
+
+@pytest.mark.parametrize("number", [1e18, 1e-12, 0.1, 1234.56])
+def test_numbers_beyond_the_decimal_have_a_rest(spark, number):
+    df = spark.createDataFrame([(number,)], "n double")
+    value = F.col("n"), T.DoubleType()
+    row = df.select(clean_currency(*value).alias("billing"), currency_rest(*value).alias("billing_rest"))
+    assert row.select(total_billing("billing", "billing_rest").alias("v")).first().v == number
 
 
 @pytest.mark.parametrize("kind", ["double", "float", "int", "decimal(12,2)"])

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from ..columns import ColumnMap, raw_column, same_name, type_of
 from ..functions.dates import epoch_millis, in_days, los_millis
-from ..functions.money import clean_currency, is_bad_currency
+from ..functions.money import clean_currency, currency_rest, is_bad_currency
 
 
 def admission_facts(raw: DataFrame, cols: ColumnMap = ColumnMap()) -> DataFrame:
-    """condition, admission_type, provider, los_ms BIGINT, billing DECIMAL(28,10).
+    """condition, admission_type, provider, los_ms BIGINT, billing DECIMAL(28,10),
+    billing_rest DOUBLE (what that decimal cannot hold, else NULL or 0).
 
     A narrow projection: a report that reads two of the facts makes the scan
     read, and the parser parse, only those. Fields the raw table lacks are
@@ -25,8 +26,8 @@ def admission_facts(raw: DataFrame, cols: ColumnMap = ColumnMap()) -> DataFrame:
     if type_of(raw, cols.admit) and type_of(raw, cols.discharge):
         facts.append(_stay(raw, cols).alias("los_ms"))
     if type_of(raw, cols.billing):
-        billing = clean_currency(raw_column(cols.billing), type_of(raw, cols.billing))
-        facts.append(billing.alias("billing"))
+        charge = raw_column(cols.billing), type_of(raw, cols.billing)
+        facts += [clean_currency(*charge).alias("billing"), currency_rest(*charge).alias("billing_rest")]
     return raw.select(*facts)
 
 

@@ -7,9 +7,11 @@ A stats frame has one row per group with exact partials:
     los_ms   their sum, milliseconds      DECIMAL(38,0)
     bill_n   rows with a charge           BIGINT
     bill_sum their sum                    DECIMAL(38,10)
+    bill_rest sum of what that type cannot hold of them, DOUBLE
 
 Sums are integers or decimals, so results do not depend on row order or on how
-the data is split, and coarser groups follow from finer ones by adding up.
+the data is split, and coarser groups follow from finer ones by adding up. Only
+charges beyond 18 digits before the point or 10 after it add to ``bill_rest``.
 """
 
 from __future__ import annotations
@@ -43,7 +45,7 @@ def group_stats(facts: DataFrame, *by: str, los: bool = False, billing: bool = F
             F.sum(F.expr("los_ms % 1000")).alias("_millis"),
         ]
     if billing:
-        parts += [F.count("billing").alias("bill_n"), F.sum("billing").alias("bill_sum")]
+        parts += [F.count("billing").alias("bill_n"), F.sum("billing").alias("bill_sum"), F.sum("billing_rest").alias("bill_rest")]
     grouped = facts.groupBy(*by).agg(*parts)
 
     out = [*by, "n"]
@@ -52,7 +54,7 @@ def group_stats(facts: DataFrame, *by: str, los: bool = False, billing: bool = F
         total = wide["_days"] * DAY_MS + wide["_secs"] * 1000 + wide["_millis"]
         out += ["los_n", total.cast(LOS_TOTAL).alias("los_ms")]
     if billing:
-        out += ["bill_n", F.col("bill_sum").cast(BILL_TOTAL).alias("bill_sum")]
+        out += ["bill_n", F.col("bill_sum").cast(BILL_TOTAL).alias("bill_sum"), "bill_rest"]
     return _one_shape(grouped.select(*out), los, billing)
 
 
@@ -68,6 +70,7 @@ def merge_stats(stats: DataFrame, *by: str, los: bool = False, billing: bool = F
         parts += [
             F.coalesce(F.sum("bill_n"), F.lit(0)).alias("bill_n"),
             F.sum("bill_sum").cast(BILL_TOTAL).alias("bill_sum"),
+            F.sum("bill_rest").alias("bill_rest"),
         ]
     return _one_shape(stats.groupBy(*by).agg(*parts), los, billing)
 
@@ -86,7 +89,7 @@ def _one_shape(stats: DataFrame, los: bool, billing: bool) -> DataFrame:
     if los:
         holds.append((F.col("los_n") >= 0) | F.col("los_ms").isNull())
     if billing:
-        holds.append((F.col("bill_n") >= 0) | F.col("bill_sum").isNull())
+        holds.append((F.col("bill_n") >= 0) | F.col("bill_sum").isNull() | F.col("bill_rest").isNull())
     return stats.filter(reduce(lambda a, b: a & b, holds))
 
 
@@ -98,8 +101,13 @@ def patient_days() -> Column:
     return in_days(F.col("los_ms"))
 
 
+def total_billing(exact: str = "bill_sum", rest: str = "bill_rest") -> Column:
+    """DOUBLE sum of the charges, from their exact part and its rest."""
+    return F.col(exact).cast("double") + F.coalesce(F.col(rest), F.lit(0.0))
+
+
 def average_billing() -> Column:
-    return ratio(F.col("bill_sum"), F.col("bill_n"))
+    return ratio(total_billing(), F.col("bill_n"))
 
 
 def with_keys(stats: DataFrame, *keys: str) -> DataFrame:

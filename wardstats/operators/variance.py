@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..columns import CONDITION
 from ..functions.ratios import classify, ratio
-from .stats import average_billing, with_keys, with_parent
+from .stats import average_billing, total_billing, with_keys, with_parent
 
 
 def _variance_pct(average: Column, benchmark: Column) -> Column:
@@ -27,6 +27,7 @@ def benchmark_variance(stats: DataFrame, parent: str = CONDITION) -> DataFrame:
         stats,
         parent,
         _sum=F.sum("bill_sum"),
+        _rest=F.sum("bill_rest"),
         _n=F.sum("bill_n"),
         _low=F.min(average_billing()),
         _high=F.max(average_billing()),
@@ -36,7 +37,7 @@ def benchmark_variance(stats: DataFrame, parent: str = CONDITION) -> DataFrame:
         "_low",
         "_high",
         average_billing().alias("average_billing"),
-        ratio(F.col("_sum"), F.col("_n")).alias("benchmark"),
+        ratio(total_billing("_sum", "_rest"), F.col("_n")).alias("benchmark"),
     )
     average, benchmark = F.col("average_billing"), F.col("benchmark")
     low = F.abs(_variance_pct(F.col("_low"), benchmark))

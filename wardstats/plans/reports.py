@@ -18,7 +18,8 @@ from ..operators.facts import column_profile, los_sample
 from ..operators.priority import priority_combos
 from ..operators.shares import share_difference, share_of_total, share_totals
 from ..operators.stats import (
-    average_billing, average_los, grand_totals, overall_los, patient_days, with_keys, with_parent,
+    average_billing, average_los, grand_totals, overall_los, patient_days, total_billing, with_keys,
+    with_parent,
 )
 from ..operators.variance import benchmark_variance, classified_variance
 
@@ -136,7 +137,7 @@ def _billing(table, *keys: str) -> DataFrame:
             *keys,
             _count(),
             _rounded(average_billing(), 2, "average_billing"),
-            _rounded(F.col("bill_sum").cast("double"), 2, "total_billing"),
+            _rounded(total_billing(), 2, "total_billing"),
         )
         .orderBy(F.desc("total_billing"), *keys)
     )

@@ -7,7 +7,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame
 
-from ..columns import ADMISSION_TYPE, CONDITION, PROVIDER, ColumnMap
+from ..columns import ADMISSION_TYPE, CONDITION, PROVIDER, ColumnMap, type_of
 from ..operators.facts import admission_facts
 from ..operators.stats import group_stats, merge_stats
 
@@ -24,6 +24,11 @@ class AdmissionTable:
         return admission_facts(self.raw, self.cols)
 
     def by(self, *keys: str, los: bool = False, billing: bool = False) -> DataFrame:
+        fields = [*keys, *(["admit", "discharge"] if los else []), *(["billing"] if billing else [])]
+        for field in fields:
+            source = getattr(self.cols, field)
+            if type_of(self.raw, source) is None:
+                raise ValueError(f"the admissions have no column {source!r}, named by ColumnMap.{field}")
         return group_stats(self.facts, *keys, los=los, billing=billing)
 
     def summary(self) -> DataFrame:
