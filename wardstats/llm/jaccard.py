@@ -54,11 +54,13 @@ def sketch_keys(shingles: np.ndarray, size: int, band: int, similar: int = SIMIL
     """Keys of the first parts of one set's sketch in a band, and t.
 
     Band j is for sizes from 4^j. A part's key is its number and its parities.
+    The longer t, the longer a passage that many texts share may be without
+    making them candidates; small sets, of which it is a larger part, have more.
     There are so many parts that few shingles share one, so far more than d are
     not empty.
     """
     low = 4**band
-    spare = low // 4
+    spare = (low - 1) // 2 if low <= 64 else low // 4
     differ = int((size + size * 100 // similar) * (100 - similar) // (100 + similar))
     parts = max(16 * low, 4096)
     part = (shingles >> U64(32)) % U64(parts)
