@@ -9,7 +9,10 @@ J >= 0.8 differ in at most d = (a + b) / 9 shingles, so in at most d parts.
 By the pigeonhole principle two such texts agree in at least t + 1 of their
 first d + t + 1 parts that are not empty. Texts with fewer parts in common with
 any other are done. The others drop their t most frequent parts, as one of the
-rest must still agree, and meet in those. Candidates are verified on the sets.
+rest must still agree, and meet in those. A second sketch of fixed size holds
+the parity of the shingles that fall on each of its bits; its Hamming distance
+is at most d too, so texts further apart are no candidates, though they share a
+part. Candidates are verified on the sets.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import discard, slices, stored, text_key
@@ -28,6 +31,7 @@ from .words import U64, Words, mix, runs
 
 SHINGLE = 5
 SIMILAR = 80  # per cent
+BITS = 1024  # of the sketch that candidates are compared by
 
 
 def shingle_sets(column: pa.Array, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -41,17 +45,19 @@ def shingle_sets(column: pa.Array, n: int = SHINGLE) -> tuple[np.ndarray, np.nda
     counts = words.counts()
     short = np.flatnonzero((counts > 0) & (counts < n))
     if len(short):
-        hashes = np.concatenate([hashes, Ranges(words.hashes)(words.first[short], counts[short])])
-        owner = np.concatenate([owner, short])
-    order = np.lexsort((hashes, owner))
-    hashes, owner = hashes[order], owner[order]
+        places = np.searchsorted(owner, short)
+        hashes = np.insert(hashes, places, Ranges(words.hashes)(words.first[short], counts[short]))
+        owner = np.insert(owner, places, short)
+    bounds = np.searchsorted(owner, np.arange(len(column) + 1)).tolist()
+    for a, b in zip(bounds[:-1], bounds[1:]):
+        hashes[a:b].sort()
     new = np.ones(len(hashes), bool)
     new[1:] = (np.diff(owner) != 0) | (hashes[1:] != hashes[:-1])
     return hashes[new], np.searchsorted(owner[new], np.arange(len(column) + 1))
 
 
 def sketch_keys(shingles: np.ndarray, size: int, band: int, similar: int = SIMILAR) -> tuple[np.ndarray, int]:
-    """Keys of the first parts of one set's sketch in a band, and t.
+    """Keys of the first parts of one sorted set's sketch in a band, and t.
 
     Band j is for sizes from 4^j. A part's key is its number and its parities.
     The longer t, the longer a passage that many texts share may be without
@@ -60,21 +66,29 @@ def sketch_keys(shingles: np.ndarray, size: int, band: int, similar: int = SIMIL
     not empty.
     """
     low = 4**band
-    spare = (low - 1) // 2 if low <= 64 else low // 4
+    spare = (low - 1) // 2 if low <= 64 else low // 8
     differ = int((size + size * 100 // similar) * (100 - similar) // (100 + similar))
     parts = max(16 * low, 4096)
-    part = (shingles >> U64(32)) % U64(parts)
-    order = np.argsort(part, kind="stable")
-    part = part[order]
+    part = ((shingles >> U64(32)) * U64(parts)) >> U64(32)  # in order, as the shingles are
     firsts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
-    parity = np.bitwise_xor.reduceat(mix((shingles[order] & U64(0xFFFFFFFF)) + U64(1)), firsts)
-    number = part[firsts][parity != 0]
-    keys = mix(parity[parity != 0] ^ mix(number + (U64(band + 1) << U64(56))))
-    return keys[: differ + spare + 1], spare
+    wanted = differ + spare + 1
+    if len(firsts) > wanted:
+        shingles, firsts = shingles[: firsts[wanted]], firsts[:wanted]
+    parity = np.bitwise_xor.reduceat(mix((shingles & U64(0xFFFFFFFF)) + U64(1)), firsts)
+    return mix(parity ^ mix(part[firsts] + (U64(band + 1) << U64(56)))), spare
+
+
+def parity_bits(shingles: np.ndarray) -> np.ndarray:
+    """Parities of the shingles on each of ``BITS`` bits, as 64-bit words."""
+    odd = np.bincount((shingles & U64(BITS - 1)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def sketches(texts: DataFrame, similar: int = SIMILAR) -> DataFrame:
-    """(uid, n_shingles, band, spare, keys) of every text, in its own size band and, if a partner may be in the next, there too."""
+    """(uid, n_shingles, bits, band, spare, keys) of every text, in its own size band and, if a partner may be in the next, there too.
+
+    In the second of these rows ``bits`` is null.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -86,11 +100,31 @@ def sketches(texts: DataFrame, similar: int = SIMILAR) -> DataFrame:
                 bands = [band, band + 1] if n * 100 // similar >= 4 ** (band + 1) else [band]
                 for j in bands:
                     keys, spare = sketch_keys(shingles[a:b], n, j, similar) if n else (np.zeros(0, U64), 0)
-                    rows.append((uid, n, j, spare, keys.view(np.int64)))
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["uid", "n_shingles", "band", "spare", "keys"])
+                    bits = parity_bits(shingles[a:b]) if j == band else None
+                    rows.append((uid, n, bits, j, spare, keys.view(np.int64)))
+            kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.int32(), pa.list_(pa.int64())]
+            names = ["uid", "n_shingles", "bits", "band", "spare", "keys"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+
+    shape = "uid long, n_shingles long, bits array<long>, band int, spare int, keys array<long>"
+    return stored(texts.select("uid", "text").mapInArrow(run, shape), "sketches")
+
+
+def within_reach(n: str, bits: str, other_n: str, other_bits: str, similar: int = SIMILAR) -> Column:
+    """Whether two texts' sizes, and the Hamming distance of their bits, leave room for that similarity."""
+    apart = [F.bit_count(F.col(bits)[i].bitwiseXOR(F.col(other_bits)[i])) for i in range(BITS // 64)]
+    room = (F.col(n) + F.col(other_n)) * (100 - similar)
+    sizes = F.least(n, other_n) * 100 >= F.greatest(n, other_n) * similar
+    # The first quarter alone tells most texts apart.
+    return sizes & (sum(apart[: len(apart) // 4]) * (100 + similar) <= room) & (sum(apart) * (100 + similar) <= room)
+
 
-    return stored(texts.select("uid", "text").mapInArrow(run, "uid long, n_shingles long, band int, spare int, keys array<long>"), "sketches")
+def reachable(pairs: DataFrame, sizes: DataFrame, similar: int = SIMILAR) -> DataFrame:
+    """Those of the pairs (a, b) that sizes and sketches leave room for."""
+    for side in ("a", "b"):
+        own = sizes.select(F.col("uid").alias(side), F.col("n_shingles").alias(f"n_{side}"), F.col("bits").alias(f"bits_{side}"))
+        pairs = pairs.join(own, side)
+    return pairs.where(within_reach("n_a", "bits_a", "n_b", "bits_b", similar)).select("a", "b")
 
 
 def candidate_groups(sketched: DataFrame) -> DataFrame:
@@ -98,7 +132,8 @@ def candidate_groups(sketched: DataFrame) -> DataFrame:
     parts = sketched.select("uid", "band", "spare", F.explode("keys").alias("key"))
     # Counts are written first: a join of two plain shuffles can split a hot key.
     common = stored(parts.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "common")
-    shared = parts.join(common, "key").groupBy("uid", "band", "spare").agg(F.collect_list(F.struct("n", "key")).alias("keys"))
+    # A hash table of the counts, one row a key, saves sorting the keys of all texts.
+    shared = parts.join(common.hint("shuffle_hash"), "key").groupBy("uid", "band", "spare").agg(F.collect_list(F.struct("n", "key")).alias("keys"))
     rare = F.slice(F.array_sort("keys"), F.lit(1), F.size("keys") - F.col("spare"))
     groups = shared.where(F.size("keys") > F.col("spare")).select("uid", F.explode(rare).alias("k"))
     groups = groups.select(F.col("k.key").alias("key"), "uid")
@@ -133,19 +168,21 @@ def verified(pairs: DataFrame, texts: DataFrame, similar: int = SIMILAR) -> Data
     return stored(rows.select("a", "left", "b", "right").mapInArrow(run, "a long, b long"), "verified")
 
 
-def similar_components(texts: DataFrame, sketched: DataFrame, similar: int = SIMILAR) -> DataFrame:
+def similar_components(texts: DataFrame, sketched: DataFrame, sizes: DataFrame, similar: int = SIMILAR) -> DataFrame:
     """(node, label): texts that are linked, over other texts too, to a smaller one, or are that one.
 
     Texts first meet the smallest of one group, then of all their groups, and
     last every text of their groups that is not in their component yet. So a
     group of copies costs a link each, and no pair that could join two
-    components is left out. The sketches are deleted once they have been met.
+    components is left out. Texts whose sketches are too far apart don't meet.
+    The keys are deleted once they have been met.
     """
     groups = candidate_groups(sketched)
     discard(sketched)
     alive = stored(texts.select("uid", "text").join(groups.select("uid").distinct(), "uid"), "alive")
     leaders = stored(groups.groupBy("key").agg(F.min("uid").alias("a")), "leaders")
-    star = groups.join(leaders, "key").where("a < uid").select("a", F.col("uid").alias("b"))
+    star = groups.join(leaders, "key").where("a < uid").select("a", F.col("uid").alias("b")).distinct()
+    star = stored(reachable(star, sizes, similar), "star")
     tried = stored(star.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "pairs")
     links = verified(tried, alive, similar)
     labels = stored(components(links), "labels")
@@ -155,7 +192,7 @@ def similar_components(texts: DataFrame, sketched: DataFrame, similar: int = SIM
         return rows.join(own, node, "left").withColumn(name, F.coalesce(name, node))
 
     def apart(pairs: DataFrame) -> DataFrame:
-        new = pairs.distinct().join(tried, ["a", "b"], "left_anti")
+        new = pairs.join(tried, ["a", "b"], "left_anti")
         return stored(labelled(labelled(new, "a", "la"), "b", "lb").where("la <> lb").select("a", "b"), "pairs")
 
     more = apart(star)
@@ -165,9 +202,10 @@ def similar_components(texts: DataFrame, sketched: DataFrame, similar: int = SIM
 
     own = stored(labelled(groups, "uid", "l"), "labelled")
     open_keys = own.groupBy("key").agg(F.min("l").alias("first"), F.max("l").alias("last")).where("first < last").select("key")
-    left = stored(own.join(stored(open_keys, "open-keys"), "key"), "open")
-    right = left.select("key", F.col("uid").alias("b"), F.col("l").alias("lb"))
-    cross = left.withColumnRenamed("uid", "a").join(right, "key").where("a < b and l <> lb").select("a", "b")
+    left = stored(own.join(stored(open_keys, "open-keys"), "key").join(sizes, "uid"), "open")
+    right = left.select("key", *[F.col(c).alias(f"{c}_b") for c in ("uid", "l", "n_shingles", "bits")])
+    near = F.expr("uid < uid_b and l <> l_b") & within_reach("n_shingles", "bits", "n_shingles_b", "bits_b", similar)
+    cross = left.join(right, "key").where(near).select(F.col("uid").alias("a"), F.col("uid_b").alias("b"))
     rest = stored(cross.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
     return components(links.unionByName(verified(rest, alive, similar)))
 
@@ -176,9 +214,9 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similar: i
     """(hash, n_shingles, label, component) of every distinct text; ``component`` is its component's smallest id."""
     texts = distinct_texts(docs, key, text)
     sketched = sketches(texts, similar)
-    sizes = stored(sketched.groupBy("uid").agg(F.first("n_shingles").alias("n_shingles")), "sizes")
-    labels = similar_components(texts, sketched, similar)
-    ids = texts.select("uid", "hash", "first_id").join(sizes, "uid").join(labels.withColumnRenamed("node", "uid"), "uid", "left")
+    sizes = stored(sketched.where("bits is not null").select("uid", "n_shingles", "bits"), "sizes")
+    labels = similar_components(texts, sketched, sizes, similar)
+    ids = texts.select("uid", "hash", "first_id").join(sizes.drop("bits"), "uid").join(labels.withColumnRenamed("node", "uid"), "uid", "left")
     ids = stored(ids.select("hash", "first_id", "n_shingles", F.coalesce("label", "uid").alias("label")), "classes")
     least = ids.groupBy("label").agg(F.min("first_id").alias("component"))
     return ids.join(least, "label").select("hash", "n_shingles", "label", "component")
