@@ -177,6 +177,18 @@ def test_nearest(spark):
     assert ann.search(table.limit(0), table).count() == 0 and ann.search(table, table.limit(0)).count() == 0
 
 
+def test_nearest_keeps_its_recall_over_many_lists(spark, monkeypatch):
+    ship_package(spark)
+    monkeypatch.setattr(ann, "LIST_SIZE", 16)
+    rng = random.Random(2)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(32)]) for i in range(6000)]
+    rows = [(i, [x / sum(y * y for y in v) ** 0.5 for x in v]) for i, v in rows]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r["query_id"], r["vec_id"]) for r in ann.search(table, table.where("vec_id % 20 = 0")).collect()}
+    want = {(q, i) for q, near in brute.nearest(rows).items() for i, _ in near}
+    assert len(got & want) >= 0.99 * len(want)
+
+
 @pytest.mark.parametrize("name", ["op1", "op2", "op3", "op4", "op5", "op7", "op8", "op9", "op10", "pipeline"])
 def test_empty_tables(spark, tmp_path, name):
     import corpus_pipeline

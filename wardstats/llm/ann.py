@@ -5,6 +5,10 @@ memory. Every vector stands in the list of its nearest centroid, and boundary
 vectors also in others almost as near. A query reads the lists whose centroids
 are within a ratio of its nearest one. Long lists are split into chunks.
 
+The ratio is measured: some of the queries are compared with every vector, and
+it grows until the lists that they would read hold the wanted share of their
+true neighbours; if no ratio does, all lists are read.
+
 Largest inner product becomes smallest distance by one more component: each
 vector gets the root of (largest squared norm - own squared norm), a query 0.
 """
@@ -25,7 +29,8 @@ SAMPLE = 20_000  # vectors that centroids are fitted on
 LIST_SIZE = 1024  # mean length of a list
 MOST_LISTS = 16_384
 REPLICAS, REPLICA_RATIO = 4, 1.1
-SEARCH_RATIO = 1.08
+SEARCH_RATIO = 1.16  # at least; grows until RECALL is met
+RECALL, HELD_OUT = 0.995, 256  # share of true neighbours, and the queries that it is measured on
 LEAST_SEEN = 8  # a query's lists hold at least this many times k vectors
 BEAM = 24
 DEGREE = 16
@@ -61,11 +66,11 @@ class Centroids:
         far = (np.arange(n) * 7919 + 1) % n
         return cls(points, np.concatenate([near, far[:, None]], 1), np.unique(np.linspace(0, n - 1, 8).astype(int)))
 
-    def search(self, x: np.ndarray, ratio: float) -> np.ndarray:
+    def search(self, x: np.ndarray, ratio: float, least: float = 0.0) -> np.ndarray:
         """Squared distance of each point to each centroid that its walk met; others are infinite.
 
         Best first: the nearest centroid not yet expanded, until ``BEAM`` are
-        expanded and the next is beyond ``ratio`` times the nearest distance.
+        expanded and the next is out of ``_reach``.
         """
         rows, n = np.arange(len(x)), len(self.points)
         seen = np.full((len(x), n), np.inf)
@@ -74,7 +79,7 @@ class Centroids:
         for step in range(n):
             best = todo.argmin(1)
             d = todo[rows, best]
-            live = np.flatnonzero(np.isfinite(d) & ((step < BEAM) | (d <= ratio**2 * seen.min(1))))
+            live = np.flatnonzero(np.isfinite(d) & ((step < BEAM) | (d <= _reach(seen.min(1), ratio, least))))
             if not len(live):
                 break
             todo[live, best[live]] = np.inf
@@ -88,6 +93,11 @@ class Centroids:
         return seen
 
 
+def _reach(nearest: np.ndarray, ratio: float, least: float) -> np.ndarray:
+    """Squared distance up to which centroids count: ``ratio`` times the nearest, which counts as ``least`` at least."""
+    return np.full_like(nearest, np.inf) if np.isinf(ratio) else ratio**2 * np.maximum(nearest, least)
+
+
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum(0, (a * a).sum(1)[:, None] - 2 * a @ b.T + (b * b).sum(1)[None])
 
@@ -109,13 +119,15 @@ def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
 
 def search(
     vectors: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec_id", vector: str = "embedding",
-    sample: int = SAMPLE, search_ratio: float = SEARCH_RATIO,
+    sample: int = SAMPLE, search_ratio: float = SEARCH_RATIO, recall: float = RECALL,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k nearest found, by inner product in double precision.
 
     Ties go to the smaller vec_id; a query's own id is no candidate. Vectors of
     another length than the queries' most frequent one take no part. Fewer than
     k candidates in all: all of them. No usable vector or query: no rows.
+    Queries read centroids within ``search_ratio`` at least, and further until
+    ``recall`` is met on ``HELD_OUT`` of them.
     """
     spark = vectors.sparkSession
     schema = "query_id long, rank int, vec_id long, score double"
@@ -159,14 +171,14 @@ def search(
     length = {r["l"]: r["n"] for r in postings.select(F.explode("lists").alias("l")).groupBy("l").agg(F.count("*").alias("n")).collect()}
     lengths = np.array([length.get(i, 0) for i in range(n_lists)])
 
+    held_out = asked.orderBy(F.xxhash64("id"), "id", "v").limit(HELD_OUT).collect()
+    some = np.array([r["v"] for r in held_out])
+    place, true_lists = _true_neighbours(postings, np.array([r["id"] for r in held_out]), some, k)
+    ratio, usual = _measured_ratio(graph.value, lengths, some, place, true_lists, k, search_ratio, recall)
+
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, x in chunks(batches):
-            d = graph.value.search(np.concatenate([x, np.zeros((len(x), 1))], 1), search_ratio)
-            order = np.argsort(d, 1, kind="stable")
-            near = np.take_along_axis(d, order, 1)
-            # By ratio, and on until the lists hold enough vectors.
-            held = np.cumsum(lengths[order], 1) - lengths[order]
-            wanted = (near <= search_ratio**2 * near[:, :1]) | (held < REPLICAS * LEAST_SEEN * k)
+            order, wanted = _wanted(graph.value, lengths, x, k, ratio, usual)
             lists = [o[ok].tolist() for o, ok in zip(order, wanted)]
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(lists, pa.list_(pa.int32()))], ["id", "v", "lists"])
 
@@ -200,6 +212,66 @@ def search(
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
+def _wanted(graph: Centroids, lengths: np.ndarray, x: np.ndarray, k: int, ratio: float, usual: float) -> tuple[np.ndarray, np.ndarray]:
+    """Lists of each query from the nearest on, and whether it reads them: by ratio, and on until they hold enough vectors."""
+    d = graph.search(np.concatenate([x, np.zeros((len(x), 1))], 1), ratio, usual)
+    order = np.argsort(d, 1, kind="stable")
+    near = np.take_along_axis(d, order, 1)
+    held = np.cumsum(lengths[order], 1) - lengths[order]
+    return order, (near <= _reach(near[:, :1], ratio, usual)) | (held < REPLICAS * LEAST_SEEN * k)
+
+
+def _true_neighbours(postings: DataFrame, own: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(place of the query, lists of a neighbour, -1 for none) of the queries' k nearest of all rows.
+
+    Each task holds k rows a query, whatever it reads.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score, ids, lists = np.zeros((len(q), 0)), np.zeros((len(q), 0), np.int64), np.zeros((len(q), 0, REPLICAS), np.int64)
+        for batch in batches:
+            for i in range(0, batch.num_rows, CHUNK):
+                part = batch.slice(i, CHUNK)
+                new = np.array(part.column("id"), np.int64)
+                rough = q @ _matrix(part.column("v")).T
+                rough[own[:, None] == new[None]] = -np.inf
+                at = np.array([x + [-1] * (REPLICAS - len(x)) for x in part.column("lists").to_pylist()])
+                top = np.argsort(-rough, 1)[:, :k] if len(new) <= k else np.argpartition(-rough, k - 1, 1)[:, :k]
+                score = np.concatenate([score, np.take_along_axis(rough, top, 1)], 1)
+                ids, lists = np.concatenate([ids, new[top]], 1), np.concatenate([lists, at[top]], 1)
+                best = np.argsort(-score, 1, kind="stable")[:, :k]
+                score, ids = np.take_along_axis(score, best, 1), np.take_along_axis(ids, best, 1)
+                lists = np.take_along_axis(lists, best[:, :, None], 1)
+        r, c = np.nonzero(np.isfinite(score))
+        columns = [pa.array(r), pa.array(score[r, c]), pa.array(ids[r, c]), pa.array(lists[r, c].tolist(), pa.list_(pa.int32()))]
+        yield pa.RecordBatch.from_arrays(columns, ["place", "score", "id", "lists"])
+
+    rows = postings.mapInArrow(run, "place long, score double, id long, lists array<int>")
+    best = Window.partitionBy("place").orderBy(F.desc("score"), "id")
+    found = rows.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("place", "lists").collect()  # HELD_OUT times k
+    return np.array([r["place"] for r in found], int), np.array([r["lists"] for r in found], int).reshape(-1, REPLICAS)
+
+
+def _measured_ratio(
+    graph: Centroids, lengths: np.ndarray, q: np.ndarray, place: np.ndarray, lists: np.ndarray, k: int, least: float, recall: float
+) -> tuple[float, float]:
+    """The first ratio from ``least`` on by which queries find that share of their true neighbours, and the queries' usual distance.
+
+    The usual squared distance to the nearest centroid is the median: a query
+    on top of a centroid has as far to look as others.
+    """
+    usual = float(np.median(graph.search(np.concatenate([q, np.zeros((len(q), 1))], 1), 1.0).min(1)))
+    ratio = least
+    while len(place) and ratio < 2:
+        order, wanted = _wanted(graph, lengths, q, k, ratio, usual)
+        read = np.zeros_like(wanted)
+        np.put_along_axis(read, order, wanted, 1)
+        if ((lists >= 0) & read[place[:, None], lists]).any(1).mean() >= recall:
+            return ratio, usual
+        ratio = 1 + (ratio - 1) * 1.25 if ratio > 1 else 1.01
+    return (np.inf if len(place) else least), usual
+
+
 def _nearest(x: np.ndarray, ids: np.ndarray, q: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
     """(query id, id, score) of each query's k nearest rows of one chunk.
 
