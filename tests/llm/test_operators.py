@@ -88,6 +88,17 @@ def test_sketch_parts_differ_at_most_as_much_as_the_sets():
             assert len(np.intersect1d(x, y)) >= min(spare + 1, len(x))
 
 
+def test_sets_with_few_sketch_parts_keep_one_in_common():
+    import numpy as np
+
+    place = np.array([0, 0, 1, 1, 2, 2, *range(3, 10)], np.uint64)  # 13 shingles in 10 parts
+    a = (place << np.uint64(52)) + np.arange(13, dtype=np.uint64)
+    b = a.copy()
+    b[[6, 7, 8]] += np.uint64(1000)
+    (x, spare), (y, other) = jaccard.sketch_keys(np.sort(a), 13, 2), jaccard.sketch_keys(np.sort(b), 13, 2)
+    assert len(np.intersect1d(x, y)) > max(spare, other)
+
+
 @pytest.mark.parametrize("strings", [1000, 1])
 def test_repeats_and_substrings(docs, corpus, strings, monkeypatch):
     monkeypatch.setattr(windows, "BUCKET_STRINGS", strings)

@@ -62,8 +62,8 @@ def sketch_keys(shingles: np.ndarray, size: int, band: int, similar: int = SIMIL
     Band j is for sizes from 4^j. A part's key is its number and its parities.
     The longer t, the longer a passage that many texts share may be without
     making them candidates; small sets, of which it is a larger part, have more.
-    There are so many parts that few shingles share one, so far more than d are
-    not empty.
+    There are so many parts that few shingles share one. A set with fewer parts
+    than wanted drops fewer: at least parts - d of them agree, one has to stay.
     """
     low = 4**band
     spare = (low - 1) // 2 if low <= 64 else low // 8
@@ -74,6 +74,7 @@ def sketch_keys(shingles: np.ndarray, size: int, band: int, similar: int = SIMIL
     wanted = differ + spare + 1
     if len(firsts) > wanted:
         shingles, firsts = shingles[: firsts[wanted]], firsts[:wanted]
+    spare = min(spare, max(0, len(firsts) - differ - 1))
     parity = np.bitwise_xor.reduceat(mix((shingles & U64(0xFFFFFFFF)) + U64(1)), firsts)
     return mix(parity ^ mix(part[firsts] + (U64(band + 1) << U64(56)))), spare
 
