@@ -133,6 +133,13 @@ def test_language(docs, corpus):
     assert {r["lang_pred"] for r in language.predict_languages(docs, language.learn_languages(docs.where("false"))).collect()} == {"und"}
 
 
+def test_language_filters_follow_the_learned_grams(docs, monkeypatch):
+    monkeypatch.setattr(language, "CELLS", 256)
+    assert language.learn_languages(docs).rates().max() < 0.1
+    monkeypatch.setattr(language, "LEAST_SHARE", 0.5)
+    assert not language.learn_languages(docs).rates().any()
+
+
 def test_packing(docs, corpus):
     encode = Tokenizer.from_file(TOKENIZER).encode
     rows = pd.DataFrame([r.asDict() for r in packing.packed_sequences(docs.coalesce(1), TOKENIZER, size=64).collect()])

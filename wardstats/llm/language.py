@@ -14,10 +14,11 @@ from .common import slices, stored
 from .words import LOWER, mix, text_bytes
 
 GRAM = 4
-CELLS = 1 << 20
+CELLS = 1 << 20  # at least; a filter has CELLS_A_GRAM for each n-gram of its largest language
+CELLS_A_GRAM = 8
 HASHES = 2
 SHARE = 0.2  # of the largest frequency among the languages, to count as a language's n-gram
-LEAST = 3  # occurrences in a language
+LEAST, LEAST_SHARE = 3, 1e-6  # occurrences in a language, and of all its n-grams; so it has a million at most
 UNKNOWN = "und"
 
 _FOLD = LOWER.copy()
@@ -43,10 +44,10 @@ def grams(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return code[places], np.searchsorted(at, places, "right") - 1
 
 
-def cells(codes: np.ndarray) -> list[np.ndarray]:
-    """The cells of each n-gram, one array a hash."""
+def cells(codes: np.ndarray, size: int) -> list[np.ndarray]:
+    """The cells of each n-gram among ``size``, a power of two; one array a hash."""
     h = mix(codes.astype(np.uint64) + np.uint64(1))
-    return [((h >> np.uint64(32 * k)) & np.uint64(CELLS - 1)).astype(np.int64) for k in range(HASHES)]
+    return [((h >> np.uint64(32 * k)) & np.uint64(size - 1)).astype(np.int64) for k in range(HASHES)]
 
 
 @dataclass
@@ -66,7 +67,7 @@ class LanguageFilters:
         codes, owner = grams(column)
         n = np.bincount(owner, minlength=len(column)).astype(float)
         out = np.zeros((len(column), len(self.languages)))
-        at = cells(codes)
+        at = cells(codes, self.bits.shape[1])
         rates = np.minimum(self.rates(), 0.999)
         for s, bits in enumerate(self.bits):
             mask = bits[at[0]]
@@ -83,9 +84,10 @@ def learn_languages(docs: DataFrame, text: str = "text", lang: str = "lang") ->
     """Filters from the texts with a language; all of them, whole.
 
     Every task counts its n-grams by language; sums over all tasks decide which
-    languages have an n-gram: those with at least ``LEAST`` occurrences and
-    ``SHARE`` of the n-gram's highest relative frequency. What comes to the
-    driver is one mask a cell at most (``CELLS``) for each 32 languages. Rows
+    languages have an n-gram: those with at least ``LEAST`` occurrences,
+    ``LEAST_SHARE`` of the language's n-grams and ``SHARE`` of the n-gram's
+    highest relative frequency. The filters' size follows the largest language.
+    What comes to the driver is one mask a cell at most for each 32 languages. Rows
     with a null language or text teach nothing; without any, there are no languages.
     """
     rows = docs.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")).where("lang is not null")
@@ -116,29 +118,37 @@ def learn_languages(docs: DataFrame, text: str = "text", lang: str = "lang") ->
     counts = stored(counts, "grams")
     totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     languages = sorted(totals)
-    bits = np.zeros((max(1, -(-len(languages) // 32)), CELLS), np.uint32)
     if not languages:
-        return LanguageFilters([], bits)
+        return LanguageFilters([], np.zeros((1, CELLS), np.uint32))
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = {name: i for i, name in enumerate(languages)}
         for batch in batches:
-            sets = [[], [], []]
+            sets = [[], []]
             for gram, found in zip(batch.column("gram").to_pylist(), batch.column("found").to_pylist()):
-                rate = {f["lang"]: f["n"] / totals[f["lang"]] for f in found if f["n"] >= LEAST}
+                rate = {f["lang"]: f["n"] / totals[f["lang"]] for f in found if f["n"] >= max(LEAST, LEAST_SHARE * totals[f["lang"]])}
                 top = max(rate.values(), default=0)
                 for name, r in rate.items():
                     if r >= SHARE * top:
-                        for cell in cells(np.array([gram], np.uint32)):
-                            sets[0].append(place[name] >> 5)
-                            sets[1].append(int(cell[0]))
-                            sets[2].append(1 << (place[name] & 31))
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in sets], ["slice", "cell", "mask"])
+                        sets[0].append(place[name])
+                        sets[1].append(gram)
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in sets], ["place", "gram"])
 
     by_gram = counts.groupBy("gram").agg(F.collect_list(F.struct("lang", "n")).alias("found"))  # a row a language at most
-    masks = by_gram.mapInArrow(choose, "slice long, cell long, mask long").groupBy("slice", "cell").agg(F.bit_or("mask").alias("mask"))
-    for r in masks.collect():
-        bits[r["slice"], r["cell"]] = r["mask"]
+    chosen = stored(by_gram.mapInArrow(choose, "place long, gram long"), "chosen")
+    most = chosen.groupBy("place").count().agg(F.max("count")).collect()[0][0] or 0
+    size = max(CELLS, 1 << (CELLS_A_GRAM * most - 1).bit_length()) if most else CELLS
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place, codes = (np.array(c, np.int64) for c in batch.columns)
+            for cell in cells(codes.astype(np.uint32), size):
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (place >> 5, cell, 1 << (place & 31))], ["slice", "cell", "mask"])
+
+    masks = chosen.mapInArrow(fill, "slice long, cell long, mask long").groupBy("slice", "cell").agg(F.bit_or("mask").alias("mask"))
+    at_slice, cell, mask = (c.to_numpy() for c in masks.toArrow().columns)
+    bits = np.zeros((-(-len(languages) // 32), size), np.uint32)
+    bits[at_slice, cell] = mask
     return LanguageFilters(languages, bits)
 
 
