@@ -140,6 +140,14 @@ def test_language_filters_follow_the_learned_grams(docs, monkeypatch):
     assert not language.learn_languages(docs).rates().any()
 
 
+def test_language_of_short_texts(spark):
+    rows = [(i, t, g) for i, (t, g) in enumerate([("the cat and the dog", "en"), ("我 你 他", "zh")] * 5)]
+    model = language.learn_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    short = spark.createDataFrame([(1, "the"), (2, "我"), (3, "and")], "doc_id long, text string")
+    found = {r["doc_id"]: (r["lang_pred"], r["score"] > 0) for r in language.predict_languages(short, model).collect()}
+    assert found == {1: ("en", True), 2: ("zh", True), 3: ("en", True)}
+
+
 def test_packing(docs, corpus):
     encode = Tokenizer.from_file(TOKENIZER).encode
     rows = pd.DataFrame([r.asDict() for r in packing.packed_sequences(docs.coalesce(1), TOKENIZER, size=64).collect()])

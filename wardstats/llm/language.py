@@ -26,8 +26,15 @@ _FOLD[[*range(0, 65), *range(91, 97), *range(123, 128)]] = 32
 
 
 def grams(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All n-grams of lower-cased letters (other ASCII bytes are blanks), and the text of each."""
-    data, at = text_bytes(column)
+    """All n-grams of lower-cased letters (other ASCII bytes are blanks), and the text of each.
+
+    A text has a blank before and after it, so all but a lone ASCII letter has n-grams.
+    """
+    plain, at = text_bytes(column)
+    at = np.asarray(at, np.int64)
+    data = np.full(len(plain) + 2 * len(column), 32, np.uint8)
+    data[np.arange(len(plain)) + 2 * np.repeat(np.arange(len(column)), np.diff(at)) + 1] = plain
+    at = at + 2 * np.arange(len(at))
     n = len(data) - GRAM + 1
     if n <= 0:
         return np.zeros(0, np.uint32), np.zeros(0, np.int64)
