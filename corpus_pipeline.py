@@ -16,13 +16,15 @@ from wardstats.llm.queries import TOKENIZER
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a text in some language: the others (null, or no letter) go.
+    """Documents with a text in some language: the others go.
 
+    Those are null, have no letter, or have n-grams but none in any learned
+    language after the correction for false positives.
     The filters learn from all of ``docs`` that have a language; without any,
     nothing can be told and every document goes.
     """
     model = language.learn_languages(docs)
-    found = language.predict_languages(docs, model, lang="_lang_found", score="_lang_score")
+    found = language.predict_languages(docs, model, lang="_lang_found", score="_lang_score", reject=True)
     return found.where(F.col("_lang_found") != language.UNKNOWN).select(*docs.columns)
 
 

@@ -148,6 +148,14 @@ def test_language_of_short_texts(spark):
     assert found == {1: ("en", True), 2: ("zh", True), 3: ("en", True)}
 
 
+def test_language_stage_rejects_texts_in_no_learned_language(spark, docs):
+    import corpus_pipeline
+
+    foreign = spark.createDataFrame([(1000, "ქართული ენა არის", None, "n", "s", "h", "r"), (1001, "42", None, "n", "s", "h", "r")], SCHEMA)
+    kept = {r["doc_id"] for r in corpus_pipeline.known_language(spark, docs.unionByName(foreign), "").collect()}
+    assert not kept & {1000, 1001} and {r["doc_id"] for r in docs.where("lang is not null and length(text) > 20").collect()} - {None} <= kept
+
+
 def test_packing(docs, corpus):
     encode = Tokenizer.from_file(TOKENIZER).encode
     rows = pd.DataFrame([r.asDict() for r in packing.packed_sequences(docs.coalesce(1), TOKENIZER, size=64).collect()])

@@ -159,13 +159,14 @@ def learn_languages(docs: DataFrame, text: str = "text", lang: str = "lang") ->
     return LanguageFilters(languages, bits)
 
 
-def predict_languages(docs: DataFrame, model: LanguageFilters, text: str = "text", lang: str = "lang_pred", score: str = "score") -> DataFrame:
+def predict_languages(docs: DataFrame, model: LanguageFilters, text: str = "text", lang: str = "lang_pred", score: str = "score", reject: bool = False) -> DataFrame:
     """``docs`` with the language of each whole text and the share of its n-grams in that language.
 
     ``und`` and 0 for a text that is null or has no letter; a text with letters
     but no known n-gram gets the first language and 0, and ``und`` if none was
     learned. Ties go to the first language by name. Columns of ``docs`` named
-    like the two new ones are replaced.
+    like the two new ones are replaced. With ``reject`` a text that has n-grams,
+    but none in any language after the correction, is ``und`` too.
     """
     known = docs.sparkSession.sparkContext.broadcast(model)
     kept = [c for c in docs.columns if c.lower() not in (lang.lower(), score.lower())]
@@ -183,6 +184,10 @@ def predict_languages(docs: DataFrame, model: LanguageFilters, text: str = "text
                     shares.append(0.0)
                     continue
                 best = int(scores[i].argmax())
+                if reject and n[i] and scores[i, best] <= 0:
+                    names.append(UNKNOWN)
+                    shares.append(0.0)
+                    continue
                 names.append(model.languages[best])
                 shares.append(float(min(1.0, scores[i, best] / n[i])) if n[i] else 0.0)
             columns = dict(zip(batch.schema.names, batch.columns)) | {lang: pa.array(names, pa.string()), score: pa.array(shares, pa.float64())}
