@@ -177,3 +177,72 @@ def token_rows(docs, tokenizer, end=1):
 
 def crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+def licenses(docs, templates, run=3, near=8):
+    """``templates``: (label, words, base) each."""
+    out = []
+    for doc_id, text in docs:
+        words = ALNUM.findall(lower(text))
+        base, labels, score = [], set(), 0.0
+        for label, own, is_base in templates:
+            own = own.split()
+            if is_base:
+                base += [(i, label) for i in range(len(words) - len(own) + 1) if words[i : i + len(own)] == own]
+            places = defaultdict(list)
+            for j in range(len(own) - run + 1):
+                places[tuple(own[j : j + run])].append(j)
+            votes = {(i - j, j) for i in range(len(words) - run + 1) for j in places.get(tuple(words[i : i + run]), [])}
+            for d in {d for d, _ in votes}:
+                covered = {j + k for e, j in votes if d <= e <= d + near for k in range(run)}
+                score = max(score, len(covered) / len(own))
+                if len(covered) / len(own) >= 0.8:
+                    labels.add(label)
+        starts = [i for i, _ in base]
+        listed = ",".join(sorted({x for _, x in base}))
+        out.append((doc_id, len(words), len(base), min(starts, default=None), max(starts, default=None), listed, ",".join(sorted(labels)), score))
+    return out
+
+
+def clusters(vectors, k=40, rounds=5, size=64):
+    kept = [
+        (i, [math.floor(256 * float(x)) for x in v]) for i, v in vectors
+        if v is not None and len(v) == size and all(x is not None and math.isfinite(x) for x in v)
+    ]
+    order = sorted(kept, key=lambda r: (r[0] is None, sha(f"2:{r[0]}"), r[1]))
+    centres = [list(q) for _, q in order[:k]]
+
+    def nearest(q):
+        return min((sum((a - b) ** 2 for a, b in zip(q, c)), j) for j, c in enumerate(centres))
+
+    for _ in range(rounds):
+        groups = defaultdict(list)
+        for _, q in kept:
+            groups[nearest(q)[1]].append(q)
+        for j, own in groups.items():
+            centres[j] = [sum(x) // len(own) for x in zip(*own)]
+    found = [(i, *nearest(q)) for i, q in kept]
+    inertia = Counter()
+    for _, distance, j in found:
+        inertia[j] += distance
+    return [(i, j, d, inertia[j], sum(inertia.values()), sha(",".join(map(str, centres[j])))) for i, d, j in found]
+
+
+def resampling(docs, items, grams=(1, 1), buckets=10_000, per_cent=10, least=20):
+    def features(text):
+        words = ALNUM.findall(lower(text))
+        return [zlib.crc32(" ".join(words[i : i + n]).encode()) % buckets for n in range(grams[0], grams[1] + 1) for i in range(len(words) - n + 1)]
+
+    source, target = Counter(x for _, t in docs for x in features(t)), Counter(x for t in items for x in features(t))
+    s, t = sum(source.values()), sum(target.values())
+    rows = []
+    for doc_id, text in docs:
+        own = features(text)
+        gains = [math.floor(1000 * math.log((target[x] + 1) * (s + buckets) / ((source[x] + 1) * (t + buckets)))) for x in own]
+        weight = sum(gains) // len(own) if own else 0
+        h = int(sha(f"2024:{'' if doc_id is None else doc_id}")[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        rows.append((doc_id, len(own), weight, score, len(ALNUM.findall(lower(text))) >= least))
+    fit = sorted((r for r in rows if r[4]), key=lambda r: (-r[3], r[0] is None, r[0] or 0))
+    drawn = len(fit) * per_cent // 100
+    return [(*r[:4], i + 1 if i < drawn else None) for i, r in enumerate(fit)] + [(*r[:4], None) for r in rows if not r[4]]

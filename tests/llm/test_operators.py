@@ -223,11 +223,11 @@ def test_nearest_keeps_its_recall_over_many_lists(spark, monkeypatch):
     assert len(got & want) >= 0.99 * len(want)
 
 
-@pytest.mark.parametrize("name", ["op1", "op2", "op3", "op4", "op5", "op7", "op8", "op9", "op10", "pipeline"])
+@pytest.mark.parametrize("name", ["op1", "op2", "op3", "op4", "op5", "op6", "op7", "op8", "op9", "op10", "op11", "op12", "op13", "pipeline"])
 def test_empty_tables(spark, tmp_path, name):
     import corpus_pipeline
 
-    for table in ("documents", "benchmark"):
+    for table in ("documents", "benchmark", "embeddings"):
         source = spark.read.parquet(f"/root/testdata/sf0.001/{table}.parquet")
         source.limit(0).write.parquet(str(tmp_path / f"{table}.parquet"))
     every = {**queries.QUERIES, "pipeline": corpus_pipeline.run}

@@ -12,7 +12,7 @@ FOLDER = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def tables():
     db = duckdb.connect()
-    for name in ("documents", "benchmark"):
+    for name in ("documents", "benchmark", "embeddings"):
         db.execute(f"CREATE VIEW {name} AS SELECT * FROM '{FOLDER}/{name}.parquet'")
     return db
 

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontamination, jaccard, language, packing, repeats, scoring, secrets, substrings, token_files
+from . import ann, clusters, decontamination, jaccard, language, licenses, packing, repeats, resampling, scoring, secrets, substrings, token_files
 from .common import shared_folder, ship_package
 from .windows import per_document
 
@@ -78,6 +78,19 @@ def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.for_documents(docs, texts, kept="kept_sha256", none=hashlib.sha256(b"").hexdigest())
 
 
+def scan_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.license_report(_table(spark, folder, "documents"))
+
+
+def cluster_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return clusters.cluster_report(*clusters.clusters(_table(spark, folder, "embeddings")))
+
+
+def resample(spark: SparkSession, folder: str) -> DataFrame:
+    scores = resampling.importance_scores(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    return resampling.ranked(scores).drop("n_words")
+
+
 QUERIES = {
     "op1_decontamination": decontaminate,
     "op2_packing": pack,
@@ -89,4 +102,7 @@ QUERIES = {
     "op8_secrets": scan_secrets,
     "op9_token_files": token_output,
     "op10_substring_dedup": substring_dedup,
+    "op11_license_scan": scan_licenses,
+    "op12_centroid_clusters": cluster_vectors,
+    "op13_importance_resampling": resample,
 }

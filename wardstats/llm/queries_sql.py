@@ -7,6 +7,7 @@ the vector index need a tokenizer, a learned model or an approximate search.
 
 from __future__ import annotations
 
+from .licenses import MORE
 from .secrets import BASE, RULES
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -128,10 +129,106 @@ FROM doc LEFT JOIN summed USING (doc_id)
 """
 
 
+def _licenses() -> str:
+    """Base phrases by comparing slices of the words; other templates by runs of three words, nine diagonals together."""
+    base = "('mit', ['under', 'the', 'mit', 'license']), ('apache-2', ['apache', 'license', 'version', '2']), ('cc-by-nc', ['cc', 'by', 'nc'])"
+    more = ", ".join(f"('{t.label}', string_split('{t.text}', ' '))" for t in MORE)
+    return f"""
+WITH doc AS (SELECT doc_id, regexp_extract_all({LOWER}, {ITEM_WORD}) AS w FROM documents),
+base AS (SELECT * FROM (VALUES {base}) t(label, p)),
+template AS (SELECT *, row_number() OVER (ORDER BY label, p) AS t FROM (SELECT * FROM base UNION ALL SELECT * FROM (VALUES {more}) t(label, p))),
+spot AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM doc WHERE len(w) > 2),
+phrase AS (SELECT doc_id, label, i - 1 AS i FROM spot, base WHERE w[i] = p[1] AND w[i:i + len(p) - 1] = p),
+based AS (
+  SELECT doc_id, count(*) AS n, min(i) AS a, max(i) AS b, string_agg(DISTINCT label, ',' ORDER BY label) AS l FROM phrase GROUP BY doc_id),
+run AS (SELECT doc_id, i - 1 AS i, w[i] AS x, w[i + 1] AS y, w[i + 2] AS z FROM spot),
+place AS (
+  SELECT t, label, len(p) AS size, j - 1 AS j, p[j] AS x, p[j + 1] AS y, p[j + 2] AS z
+  FROM (SELECT t, label, p, unnest(range(1, len(p) - 1)) AS j FROM template)),
+vote AS (SELECT DISTINCT doc_id, t, label, size, i - j AS d, j FROM run JOIN place USING (x, y, z)),
+cover AS (
+  SELECT doc_id, t, label, CAST(count(DISTINCT b.j + o) AS DOUBLE) / size AS share
+  FROM (SELECT DISTINCT doc_id, t, label, size, d FROM vote) a JOIN (SELECT doc_id, t, d, j FROM vote) b USING (doc_id, t),
+    (SELECT unnest([0, 1, 2]) AS o) WHERE b.d BETWEEN a.d AND a.d + 8 GROUP BY doc_id, t, label, size, a.d),
+noted AS (
+  SELECT doc_id, max(share) AS score, string_agg(DISTINCT label, ',' ORDER BY label) FILTER (share >= 0.8) AS l FROM cover GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_base, a AS first_word, b AS last_word,
+  coalesce(based.l, '') AS base_labels, coalesce(noted.l, '') AS labels, coalesce(score, 0.0) AS score
+FROM doc LEFT JOIN based USING (doc_id) LEFT JOIN noted USING (doc_id)
+"""
+
+
+def _clusters(k: int = 40, rounds: int = 5) -> str:
+    """All distances anew in every round, a component a row."""
+    steps = []
+    for n in range(rounds + 1):
+        steps.append(f"""
+far{n} AS MATERIALIZED (SELECT r, j, sum((q - c) * (q - c)) AS distance FROM part JOIN centre{n} USING (d) GROUP BY r, j),
+near{n} AS MATERIALIZED (SELECT r, arg_min(j, (distance, j)) AS j, min(distance) AS distance FROM far{n} GROUP BY r)""")
+        if n < rounds:
+            steps.append(f"""
+mean{n} AS (SELECT j, d, CAST(floor(sum(q)::DOUBLE / count(*)) AS BIGINT) AS c FROM near{n} JOIN part USING (r) GROUP BY j, d),
+centre{n + 1} AS MATERIALIZED (SELECT j, d, coalesce(mean{n}.c, centre{n}.c) AS c FROM centre{n} LEFT JOIN mean{n} USING (j, d))""")
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(x, lambda y: CAST(floor(256 * y) AS BIGINT)) AS v
+  FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings)
+  WHERE len(x) = 64 AND len(list_filter(x, lambda y: y IS NOT NULL AND isfinite(y))) = 64),
+part AS MATERIALIZED (SELECT r, unnest(v) AS q, unnest(range(64)) AS d FROM kept),
+seed AS (
+  SELECT r, row_number() OVER (ORDER BY sha256('2:' || vec_id) NULLS LAST, v, r) - 1 AS j FROM kept QUALIFY j < {k}),
+centre0 AS MATERIALIZED (SELECT j, d, q AS c FROM seed JOIN part USING (r)),{",".join(steps)},
+digest AS (SELECT j, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY d)) AS centroid_sha256 FROM centre{rounds} GROUP BY j)
+SELECT vec_id, CAST(j AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance,
+  CAST(sum(distance) OVER (PARTITION BY j) AS BIGINT) AS cluster_inertia, CAST(sum(distance) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM near{rounds} JOIN kept USING (r) JOIN digest USING (j)
+"""
+
+
+def _resampling() -> str:
+    """CRC-32 of every distinct word, byte by byte, with the table that its polynomial gives."""
+    table = []
+    for n in range(256):
+        for _ in range(8):
+            n = (n >> 1) ^ (0xEDB88320 if n & 1 else 0)
+        table.append(n)
+    byte = "(instr('0123456789ABCDEF', h[2 * i - 1]) - 1) * 16 + instr('0123456789ABCDEF', h[2 * i]) - 1"
+    step = f"lambda c, b: xor(c >> 8, list_extract({table}, xor(c & 255, b) + 1))"
+    return f"""
+WITH doc AS (SELECT doc_id, regexp_extract_all({LOWER}, {ITEM_WORD}) AS w FROM documents),
+item AS (SELECT regexp_extract_all({LOWER}, {ITEM_WORD}) AS w FROM benchmark),
+known AS (SELECT word, hex(encode(word)) AS h FROM (SELECT unnest(w) AS word FROM doc UNION SELECT unnest(w) FROM item)),
+crc AS (
+  SELECT word, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, len(h) // 2 + 1), lambda i: CAST({byte} AS BIGINT))), {step}),
+    4294967295) % 10000 AS bucket FROM known),
+feature AS (SELECT doc_id, bucket FROM (SELECT doc_id, unnest(w) AS word FROM doc) JOIN crc USING (word)),
+source AS (SELECT bucket, count(*) AS s FROM feature GROUP BY bucket),
+target AS (SELECT bucket, count(*) AS t FROM (SELECT unnest(w) AS word FROM item) JOIN crc USING (word) GROUP BY bucket),
+total AS (SELECT (SELECT coalesce(sum(s), 0) FROM source)::DOUBLE AS ss, (SELECT coalesce(sum(t), 0) FROM target)::DOUBLE AS tt),
+gain AS (
+  SELECT bucket, CAST(floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (ss + 10000) / ((s + 1)::DOUBLE * (tt + 10000)))) AS BIGINT) AS g
+  FROM source LEFT JOIN target USING (bucket), total),
+summed AS (SELECT doc_id, count(*) AS n, CAST(sum(g) AS BIGINT) AS g FROM feature JOIN gain USING (bucket) GROUP BY doc_id),
+drawn AS (
+  SELECT doc_id, len(w) AS words, coalesce(n, 0) AS n_features,
+    coalesce((g - ((g % n) + n) % n) // n, 0) AS weight, ('0x' || sha256('2024:' || doc_id)[1:8])::BIGINT AS h
+  FROM doc LEFT JOIN summed USING (doc_id)),
+scored AS (
+  SELECT doc_id, words, n_features, weight, weight + CAST(floor(-1000 * ln(-ln((h + 0.5) / 4294967296))) AS BIGINT) AS score FROM drawn),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY words >= 20 ORDER BY score DESC, doc_id) AS place,
+    10 * (count(*) FILTER (words >= 20) OVER ()) // 100 AS many FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN words >= 20 AND place <= many THEN place END AS rank FROM placed
+"""
+
+
 ORACLE = {
     "op1_decontamination": DECONTAMINATION,
     "op3_jaccard_join": JACCARD,
     "op4_suffix_repeats": SUFFIX_REPEATS,
     "op8_secrets": _secrets(),
     "op10_substring_dedup": SUBSTRING_DEDUP,
+    "op11_license_scan": _licenses(),
+    "op12_centroid_clusters": _clusters(),
+    "op13_importance_resampling": _resampling(),
 }

@@ -85,10 +85,10 @@ class Words:
 
     ``data`` are the bytes (lower-cased A-Z if asked for), ``starts`` and ``ends``
     the words' spans, ``first[d]:first[d + 1]`` the words of text d, ``hashes``
-    one value a word.
+    one value a word (unless not ``hashed``).
     """
 
-    def __init__(self, column: pa.Array, letters: np.ndarray = NOT_BLANK, lower: bool = False):
+    def __init__(self, column: pa.Array, letters: np.ndarray = NOT_BLANK, lower: bool = False, hashed: bool = True):
         data, self.offsets = text_bytes(column)
         self.data = LOWER[data] if lower else data
         n = len(data)
@@ -102,7 +102,8 @@ class Words:
         self.starts = np.flatnonzero(begins)
         self.ends = np.flatnonzero(stops) + 1
         self.first = np.searchsorted(self.starts, self.offsets)
-        self.hashes = span_hashes(self.data, self.starts, self.ends)
+        if hashed:
+            self.hashes = span_hashes(self.data, self.starts, self.ends)
 
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
