@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, slices, stored, text_key
+from .common import column, discard, slices, stored, text_key
 from .components import components
 from .windows import Ranges, distinct_texts, per_document
 from .words import U64, Words, mix, runs
@@ -32,6 +32,7 @@ from .words import U64, Words, mix, runs
 SHINGLE = 5
 SIMILAR = 80  # per cent
 BITS = 1024  # of the sketch that candidates are compared by
+BEFORE = 12  # of a text's keys, just smaller than one, that go with it into the join
 
 
 def shingle_sets(column: pa.Array, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -201,14 +202,27 @@ def similar_components(texts: DataFrame, sketched: DataFrame, sizes: DataFrame,
     labels = stored(components(links), "labels")
     tried = tried.unionByName(more)
 
+    # What is left are pairs of texts in different components. A pair comes out
+    # at a key unless a common one stands among the few just smaller than it on
+    # both sides; the smallest common key has none, so no pair is lost, and
+    # texts with most keys in common come out once.
     own = stored(labelled(groups, "uid", "l"), "labelled")
     open_keys = own.groupBy("key").agg(F.min("l").alias("first"), F.max("l").alias("last")).where("first < last").select("key")
-    left = stored(own.join(stored(open_keys, "open-keys"), "key").join(sizes, "uid"), "open")
-    right = left.select("key", *[F.col(c).alias(f"{c}_b") for c in ("uid", "l", "n_shingles", "bits")])
-    near = F.expr("uid < uid_b and l <> l_b") & within_reach("n_shingles", "bits", "n_shingles_b", "bits_b", similar)
+    opened = own.join(stored(open_keys, "open-keys"), "key").groupBy("uid").agg(F.min("l").alias("l"), F.array_sort(F.collect_list("key")).alias("keys"))
+    smaller = F.transform("keys", lambda k, i: F.struct(k.alias("key"), F.slice("keys", F.greatest(i - BEFORE, F.lit(0)) + 1, F.least(i, F.lit(BEFORE))).alias("before")))
+    left = opened.join(sizes, "uid").select("uid", "l", "n_shingles", "bits", F.inline(smaller))
+    left = stored(left, "open")
+    discard(own)
+    right = left.select("key", *[F.col(c).alias(f"{c}_b") for c in ("uid", "l", "n_shingles", "bits", "before")])
+    near = F.expr("uid < uid_b and l <> l_b") & within_reach("n_shingles", "bits", "n_shingles_b", "bits_b", similar) & ~F.arrays_overlap("before", "before_b")
     cross = left.join(right, "key").where(near).select(F.col("uid").alias("a"), F.col("uid_b").alias("b"))
-    rest = stored(cross.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
-    return components(links.unionByName(verified(rest, alive, similar)))
+    # Written first: else Spark may look for the pairs already tried before it folds equal ones.
+    cross = stored(cross.distinct(), "cross")
+    discard(left)
+    rest = stored(cross.join(tried, ["a", "b"], "left_anti"), "pairs")
+    links = stored(links.unionByName(verified(rest, alive, similar)), "links")
+    discard(alive)
+    return components(links)
 
 
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similar: int = SIMILAR) -> DataFrame:
@@ -219,6 +233,8 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similar: i
     labels = similar_components(texts, sketched, sizes, similar)
     ids = texts.select("uid", "hash", "first_id").join(sizes.drop("bits"), "uid").join(labels.withColumnRenamed("node", "uid"), "uid", "left")
     ids = stored(ids.select("hash", "first_id", "n_shingles", F.coalesce("label", "uid").alias("label")), "classes")
+    for table in (texts, sizes):
+        discard(table)
     least = ids.groupBy("label").agg(F.min("first_id").alias("component"))
     return ids.join(least, "label").select("hash", "n_shingles", "label", "component")
 
@@ -249,8 +265,8 @@ def first_of_components(docs: DataFrame, key: str = "doc_id", text: str = "text"
     first = F.when(F.col("known"), F.col("id")).eqNullSafe(F.col("component"))
     one = ids.where(first & (F.col("n_shingles") > 0)).groupBy("label").agg(F.min(F.struct("id", "known", "hash")).alias("k"))
     one = stored(one.select("k.*"), "firsts")
-    rows = docs.select(F.struct(*docs.columns).alias("row"), *[c.alias(n) for n, c in keys.items()])
-    blank = rows.where(~F.coalesce(F.col("row")[text], F.lit("")).rlike(r"[^\x20\x09-\x0D]")).select("row")
+    rows = docs.select(F.struct(*map(column, docs.columns)).alias("row"), *[c.alias(n) for n, c in keys.items()])
+    blank = rows.where(~F.coalesce(F.col("row").getField(text), F.lit("")).rlike(r"[^\x20\x09-\x0D]")).select("row")
     firsts = rows.join(one, [*keys]).groupBy(*keys).agg(F.first("row").alias("row"))
     both = firsts.select("row").unionByName(blank)
-    return both.select(*[F.col("row")[c].alias(c) for c in docs.columns])
+    return both.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
