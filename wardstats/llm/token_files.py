@@ -14,6 +14,7 @@ A written set is a folder of two tables:
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,24 +22,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cleaned_shuffles, shuffle_width, slices, stored
+from .common import cleaned_shuffles, discard, shuffle_width, slices, stored
 from .tokens import END_ID, encoder
+from .words import text_bytes
 
 MAX_BITS = 20
 CHECKPOINT = 64
 BLOCK_TOKENS = 1 << 16
+SAMPLED = 16  # places a range that bounds are chosen from
 BLOCKS = "first_token long, n_tokens long, doc_ids array<long>, doc_tokens array<long>, checkpoints binary, bits binary"
 
 
 def code_lengths(counts: dict[int, int], limit: int = MAX_BITS) -> dict[int, int]:
     """Best code lengths of at most ``limit`` bits: package-merge over the symbols by count.
 
-    A single symbol has one bit. The limit must leave room for all symbols.
+    A single symbol has one bit. A limit without room for all symbols is raised
+    to the least that has it.
     """
     if len(counts) <= 1:
         return {s: 1 for s in counts}
-    if len(counts) > 1 << limit:
-        raise ValueError(f"{len(counts)} symbols don't fit codes of {limit} bits")
+    limit = max(limit, (len(counts) - 1).bit_length())
     order = sorted(counts, key=lambda s: (counts[s], s))
     weights = np.array([counts[s] for s in order], np.int64)
     # Each level merges the symbols with the pairs of the level below. Only how many
@@ -110,60 +113,81 @@ class Code:
         return out.ravel()[:n_tokens]
 
 
+def _bounds(rows: DataFrame, parts: int) -> list[tuple]:
+    """Where (key, spread) pass from one range to the next, from about ``SAMPLED`` places a range.
+
+    A null key comes first. ``spread`` tells rows of one key apart, so a key
+    with a third of all rows has bounds inside.
+    """
+    total = rows.count()
+    if parts < 2 or not total:
+        return []
+    share = min(1.0, SAMPLED * parts / total)
+    some = rows.where(F.pmod(F.xxhash64("spread"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)) or 1))
+    found = sorted((r["known"], r["doc_id"] or 0, r["spread"]) for r in some.collect())
+    return sorted({found[len(found) * i // parts] for i in range(1, parts)}) if found else []
+
+
 def _ordered(docs: DataFrame, tokenizer: str, end_id: int, parts: int) -> DataFrame:
-    """(bucket, doc_id, within, n_tokens, ids): each bucket's documents in ascending order, in one task.
+    """(bucket, doc_id, within, n_tokens, ids, counts): each bucket's documents in ascending order, in one task.
 
-    Buckets are ranges of doc_id of about equal numbers of rows, null ids in the
-    first; their bounds come from one pass over the ids alone. ``within`` counts
-    the ids before a document in its bucket.
+    Buckets are ranges of doc_id, and inside one id of a number that spreads its
+    rows; their bounds come from the ids alone. ``within`` counts the ids before
+    a document in its bucket. Each task adds a row without a bucket, whose
+    ``counts`` are its occurrences of every id, so that nobody has to read the
+    ids again to count them.
     """
-    bounds = docs.approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.1 / parts) if parts > 1 else []
-    bounds = np.array(sorted(set(bounds)))
+    keyed = docs.withColumn("known", F.col("doc_id").isNotNull()).withColumn("spread", F.xxhash64(F.monotonically_increasing_id()))
+    bounds = _bounds(keyed.select("known", "doc_id", "spread"), parts)
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
         end = np.array([end_id], enc.width).tobytes()
         for batch in slices(batches, "text"):
             ids = [x + end for x in enc.packed(batch.column("text").to_pylist())]
-            keys = batch.column("doc_id")
-            bucket = np.searchsorted(bounds, np.array(keys.fill_null(np.iinfo(np.int64).min)), "right")
+            keys, spread = batch.column("doc_id"), batch.column("spread")
+            places = zip(keys.to_pylist(), spread.to_pylist())
+            bucket = [bisect_right(bounds, (k is not None, k or 0, s)) for k, s in places]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket, pa.int32()), keys, pa.array(ids, pa.binary())], ["bucket", "doc_id", "ids"]
+                [pa.array(bucket, pa.int32()), keys, spread, pa.array(ids, pa.binary())], ["bucket", "doc_id", "spread", "ids"]
             )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size, now, at = encoder(tokenizer).width.itemsize, None, 0
+        width, now, at, total = encoder(tokenizer).width, None, 0, np.zeros(0, np.int64)
+        names = ["bucket", "doc_id", "ids", "within", "n_tokens", "counts"]
         for batch in batches:
-            n, within = [len(x.as_buffer()) // size for x in batch.column("ids")], []
+            data, ends = text_bytes(batch.column("ids"))
+            n, within = (np.diff(ends) // width.itemsize).tolist(), []
+            own = np.bincount(data.view(width) if len(data) else [], minlength=len(total))
+            own[: len(total)] += total
+            total = own
             for bucket, k in zip(batch.column("bucket").to_pylist(), n):
                 if bucket != now:
                     now, at = bucket, 0
                 within.append(at)
                 at += k
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(within, pa.int64()), pa.array(n, pa.int64())], [*batch.schema.names, "within", "n_tokens"]
-            )
+            arrays = [batch.column(c) for c in names[:3]] + [pa.array(within, pa.int64()), pa.array(n, pa.int64()), pa.nulls(len(n), pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, names)
+        kinds = [pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary()]
+        yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip([None] * 5 + [total.astype("<i8").tobytes()], kinds)], names)
 
-    ids = docs.mapInArrow(tokenize, "bucket int, doc_id long, ids binary").repartition(parts, "bucket")
-    return ids.sortWithinPartitions("bucket", "doc_id", "ids").mapInArrow(
-        count, "bucket int, doc_id long, ids binary, within long, n_tokens long"
-    )
+    ids = keyed.select("doc_id", "text", "spread").mapInArrow(tokenize, "bucket int, doc_id long, spread long, ids binary")
+    ids = ids.repartition(parts, "bucket").sortWithinPartitions("bucket", F.asc_nulls_first("doc_id"), "spread")
+    return ids.mapInArrow(count, "bucket int, doc_id long, ids binary, within long, n_tokens long, counts binary")
 
 
-def _counts(tokens: DataFrame, width: str) -> DataFrame:
-    """(symbol, n) over all ids; each task counts its own first."""
+def _counts(tokens: DataFrame) -> DataFrame:
+    """(symbol, n) over all ids, from the counts of the tasks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
         for batch in batches:
-            for ids in batch.column("ids"):
-                n = np.bincount(np.frombuffer(ids.as_buffer(), width), minlength=len(total))
-                n[: len(total)] += total
-                total = n
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(total[seen], pa.int64())], ["symbol", "n"])
+            for own in batch.column("counts"):
+                n = np.frombuffer(own.as_buffer(), "<i8")
+                seen = np.flatnonzero(n)
+                yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(n[seen], pa.int64())], ["symbol", "n"])
 
-    return tokens.select("ids").mapInArrow(run, "symbol int, n long").groupBy("symbol").agg(F.sum("n").alias("n"))
+    own = tokens.where("counts is not null").select("counts")
+    return own.mapInArrow(run, "symbol int, n long").groupBy("symbol").agg(F.sum("n").alias("n"))
 
 
 def write_tokens(
@@ -174,19 +198,21 @@ def write_tokens(
 
     A document is its ids and ``end_id``; a null or empty text is the end id
     alone. Documents stand in ascending order of their keys, null keys first;
-    rows with the same key stand in the order of their ids. No documents: a
-    code without symbols and no block.
+    rows with the same key stand in no particular order. No documents: a
+    code without symbols and no block. Any length of text; other columns take
+    no part.
     """
     spark = docs.sparkSession
     width = encoder(tokenizer).width.str
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     tokens = stored(_ordered(rows, tokenizer, end_id, 2 * shuffle_width(spark)), "tokens")
 
-    counts = {r["symbol"]: r["n"] for r in _counts(tokens, width).collect()}  # at most the vocabulary
+    counts = {r["symbol"]: r["n"] for r in _counts(tokens).collect()}  # at most the vocabulary
     lengths = code_lengths(counts)
     code = spark.sparkContext.broadcast(Code(lengths))
     before, at = {}, 0  # one number a bucket: the ids before it
-    for r in sorted(tokens.groupBy("bucket").agg(F.sum("n_tokens").alias("n")).collect()):
+    placed = tokens.where("bucket is not null").drop("counts")
+    for r in sorted(placed.groupBy("bucket").agg(F.sum("n_tokens").alias("n")).collect()):
         before[r["bucket"]], at = at, at + r["n"]
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,8 +244,9 @@ def write_tokens(
 
     with cleaned_shuffles(spark):
         spark.createDataFrame([*lengths.items()], "symbol int, length int").coalesce(1).write.parquet(f"{path}/code")
-        written = tokens.mapInArrow(blocks, BLOCKS)
+        written = placed.mapInArrow(blocks, BLOCKS)
         written.write.option("compression", "none").parquet(f"{path}/blocks")
+    discard(tokens)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:

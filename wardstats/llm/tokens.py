@@ -19,6 +19,18 @@ def _byte_letters() -> dict[int, str]:
 _LETTERS = _byte_letters()
 
 
+class _Memo(dict):
+    """The ids of words; one that is not there yet is asked for and kept."""
+
+    def __init__(self, learn):
+        super().__init__()
+        self.learn = learn
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self[word] = self.learn(word)
+        return ids
+
+
 class Encoder:
     """The ids of a text, the same as ``Tokenizer.encode(..., add_special_tokens=False)``.
 
@@ -32,49 +44,41 @@ class Encoder:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
+        self.tokenize = self.tokenizer.model.tokenize
         self.width = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 65536 else "<u4")
-        self.memo: dict[str, bytes] = {}
+        self.id_bytes = [i.to_bytes(self.width.itemsize, "little") for i in range(self.tokenizer.get_vocab_size())]
+        self.memo = _Memo(self._learn)
+        self.stops = {s: self._whole(s) for s in ".,"}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.width).tobytes()
 
-    def _letters(self, word: str) -> bytes:
-        if not word.isascii():
-            word = word.encode().decode("latin-1").translate(_LETTERS)
-        size = self.width.itemsize
-        return b"".join([t.id.to_bytes(size, "little") for t in self.model.tokenize(word)])
-
-    def _learn(self, words: list[str]) -> None:
-        memo, stops = self.memo, {s: self._whole(s) for s in ".,"}
-        other = []
-        for w in words:
-            # Letters up to U+00FF: composed already, and one lower-case letter each.
-            bare = w[:-1] if w[-1] in stops else w
-            if bare.isalpha() and max(bare) < "Ā" and bare == bare.lower():
-                memo[w] = self._letters(bare) + (stops[w[-1]] if bare is not w else b"")
-            else:
-                other.append(w)
-        if other:
-            for w, x in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
-                memo[w] = np.array(x.ids, self.width).tobytes()
+    def _learn(self, word: str) -> bytes:
+        stop = self.stops.get(word[-1])
+        bare = word if stop is None else word[:-1]
+        # Letters up to U+00FF: composed already, and one lower-case letter each.
+        if not bare.isalpha() or bare != bare.lower():
+            return self._whole(word)
+        if not bare.isascii():
+            if max(bare) >= "Ā":
+                return self._whole(word)
+            bare = bare.encode().decode("latin-1").translate(_LETTERS)
+        own = self.id_bytes
+        ids = b"".join([own[t.id] for t in self.tokenize(bare)])
+        return ids if stop is None else ids + stop
 
     def packed(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian integers of ``width``."""
-        out: list = []
+        out, get = [], self.memo.__getitem__
         for text in texts:
             text = text or ""
             if "<|" in text or any(c in text for c in "\x1c\x1d\x1e\x1f"):
                 out.append(self._whole(text))
             else:
                 # A-Z in lower case have the same ids and make fewer words.
-                out.append(text.encode().lower().decode().split())
-        new = set().union(*(x for x in out if isinstance(x, list))).difference(self.memo)
-        self._learn(list(new))
-        get = self.memo.__getitem__
-        out = [x if isinstance(x, bytes) else b"".join(map(get, x)) for x in out]
-        if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
+                out.append(b"".join(map(get, text.encode().lower().decode().split())))
+            if len(self.memo) > MEMO_WORDS:
+                self.memo.clear()
         return out
 
     def ids(self, packed: bytes) -> np.ndarray:
