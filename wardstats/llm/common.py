@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from pathlib import Path
 
@@ -14,6 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 PACKAGE_ZIP = "wardstats-package"
 CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -61,6 +62,31 @@ def discard(table: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def column(name: str) -> Column:
+    """The column of exactly that name, which may hold dots or backticks."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def map_batches(df: DataFrame, run: Callable, schema: T.StructType) -> DataFrame:
+    """``df.mapInArrow(run, schema)`` for columns of any name: they travel under plain ones."""
+    names, new = df.columns, schema.names
+    plain = T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(schema)])
+
+    def renamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for out in run(batch.rename_columns(names) for batch in batches):
+            yield out.rename_columns(plain.names)
+
+    return df.toDF(*[f"c{i}" for i in range(len(names))]).mapInArrow(renamed, plain).toDF(*new)
+
+
+def unused(taken: list[str], name: str) -> str:
+    """``name``, with as many underscores behind it as make it new among ``taken``."""
+    known = {c.lower() for c in taken}
+    while name.lower() in known:
+        name += "_"
+    return name
+
+
 def text_key(text: Column) -> Column:
     """128 bits that stand for a text; a null text is empty."""
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))

@@ -9,15 +9,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .common import slices, stored
+from .common import column, discard, map_batches, slices, stored, unused
 from .words import ALNUM, Words, covered, maximal_runs, runs
 
 WINDOW = 10
 BLOCK_ROWS = 500_000  # windows in one broadcast
-MARKS = ["_decon_n", "_decon_hit", "_decon_items", "_decon_words"]
-MARK_TYPES = "_decon_n long, _decon_hit long, _decon_items array<string>, _decon_words binary"
+MARKS = ["n_words", "n_hit", "items", "hit_words"]
 
 
 def benchmark_windows(benchmark: DataFrame, text: str = "text", item_id: str = "item_id", window: int = WINDOW) -> DataFrame:
@@ -79,7 +77,7 @@ class WindowSet:
                         yield start, n, items
 
 
-def _scan(docs: DataFrame, text: str, known, keep_text: str | None) -> DataFrame:
+def _scan(docs: DataFrame, text: str, marked: list[str], known, keep_text: str | None) -> DataFrame:
     """One pass over the documents: marks of this block's windows added to those of earlier blocks."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,9 +85,9 @@ def _scan(docs: DataFrame, text: str, known, keep_text: str | None) -> DataFrame
         for batch in slices(batches, text):
             words = Words(batch.column(text), ALNUM, lower=True)
             hit = np.zeros(len(words.starts), bool)
-            items = [set(x or ()) for x in batch.column("_decon_items").to_pylist()]
+            items = [set(x or ()) for x in batch.column(marked[2]).to_pylist()]
             first = words.first
-            for d, old in enumerate(batch.column("_decon_words").to_pylist()):
+            for d, old in enumerate(batch.column(marked[3]).to_pylist()):
                 if old:
                     n = first[d + 1] - first[d]
                     hit[first[d] : first[d + 1]] = np.unpackbits(np.frombuffer(old, np.uint8), count=int(n)).astype(bool)
@@ -103,12 +101,12 @@ def _scan(docs: DataFrame, text: str, known, keep_text: str | None) -> DataFrame
                 pa.array(words.counts(), pa.int64()), pa.array(hits, pa.int64()),
                 pa.array([sorted(x) for x in items], pa.list_(pa.string())), pa.array(packed, pa.binary()),
             ]
-            columns = dict(zip(batch.schema.names, batch.columns)) | dict(zip(MARKS, marks))
+            columns = dict(zip(batch.schema.names, batch.columns)) | dict(zip(marked, marks))
             if keep_text:
                 columns[keep_text] = _without(batch.column(text), words, hit)
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
-    return docs.mapInArrow(scan, docs.schema)
+    return map_batches(docs, scan, docs.schema)
 
 
 def _without(column: pa.Array, words: Words, hit: np.ndarray) -> pa.Array:
@@ -128,47 +126,47 @@ def _without(column: pa.Array, words: Words, hit: np.ndarray) -> pa.Array:
 
 def mark_contamination(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", item_text: str = "text", item_id: str = "item_id",
-    window: int = WINDOW, block_rows: int = BLOCK_ROWS, remove_spans: bool = False,
+    window: int = WINDOW, block_rows: int = BLOCK_ROWS, remove_spans: bool = False, marks: list[str] | None = None,
 ) -> DataFrame:
-    """``docs`` with ``_decon_n`` words, ``_decon_hit`` words inside benchmark windows and ``_decon_items``.
+    """``docs`` with the columns ``marks``: words, words inside benchmark windows, items, a bit for each word.
 
     The windows are dealt by hash into blocks of about ``block_rows``, so that
     what is collected and broadcast at once has a known size whatever the
     benchmark's; each block is one map over the documents, without a shuffle.
     ``remove_spans`` cuts the hit words out of the text.
 
-    Null or empty text: no words, no hit. Repeated documents are marked each.
-    No item, or items without words: nothing is hit.
+    Null or empty text: no words, no hit; any length of text. Repeated documents
+    are marked each. No item, or items without words: nothing is hit. Names may
+    hold dots; ``marks`` are ``MARKS``, made new by underscores, unless given.
     """
     spark = docs.sparkSession
+    names = marks or [unused(docs.columns, m) for m in MARKS]
     windows = stored(benchmark_windows(benchmark, item_text, item_id, window), "windows")
     blocks = max(1, -(-windows.count() // block_rows))
-    marked = docs.select(
-        *docs.columns, F.lit(0).cast("long").alias(MARKS[0]), F.lit(0).cast("long").alias(MARKS[1]),
-        F.lit(None).cast("array<string>").alias(MARKS[2]), F.lit(None).cast("binary").alias(MARKS[3]),
-    )
+    kinds = ["long", "long", "array<string>", "binary"]
+    marked = docs.select(*map(column, docs.columns), *[F.lit(None).cast(k).alias(n) for n, k in zip(names, kinds)])
     for block in range(blocks):
         rows = windows.where(F.pmod(F.xxhash64("n", "window", "item"), F.lit(blocks)) == block).collect()
         last = block == blocks - 1
-        marked = _scan(marked, text, spark.sparkContext.broadcast(WindowSet(rows)), text if remove_spans and last else None)
+        marked = _scan(marked, text, names, spark.sparkContext.broadcast(WindowSet(rows)), text if remove_spans and last else None)
         if not last:
             marked = stored(marked, "marked")
+    discard(windows)
     return marked
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", spans: bool = False, **more) -> DataFrame:
     """``docs`` without contaminated documents, or with their hit words cut out (``spans``); the columns stay."""
-    marked = mark_contamination(docs, benchmark, text, remove_spans=spans, **more)
-    return (marked if spans else marked.where(F.col("_decon_hit") == 0)).select(*docs.columns)
+    marks = [unused(docs.columns, m) for m in MARKS]
+    marked = mark_contamination(docs, benchmark, text, remove_spans=spans, marks=marks, **more)
+    return (marked if spans else marked.where(column(marks[1]) == 0)).select(*map(column, docs.columns))
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **more) -> DataFrame:
     """Per document: words, hit words, items found and a digest of their ids."""
-    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
+    rows = docs.select(column(key).alias("doc_id"), column(text).alias("text"))
     marked = mark_contamination(rows, benchmark, **more)
     return marked.select(
-        "doc_id", F.col("_decon_n").alias("n_words"), F.col("_decon_hit").alias("n_hit"),
-        F.size("_decon_items").cast("long").alias("n_items"),
-        F.sha2(F.array_join(F.array_sort("_decon_items"), ","), 256).alias("items_sha256"),
-        (F.col("_decon_hit") > 0).alias("contaminated"),
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
     )

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, stored
+from .common import column, discard, map_batches, slices, stored
 from .words import LOWER, mix, text_bytes
 
 GRAM = 4
@@ -18,7 +18,8 @@ CELLS = 1 << 20  # at least; a filter has CELLS_A_GRAM for each n-gram of its la
 CELLS_A_GRAM = 8
 HASHES = 2
 SHARE = 0.2  # of the largest frequency among the languages, to count as a language's n-gram
-LEAST, LEAST_SHARE = 3, 1e-6  # occurrences in a language, and of all its n-grams; so it has a million at most
+LEAST, LEAST_OF = 3, 10_000  # occurrences of an n-gram in a language of LEAST * LEAST_OF or more; fewer in a smaller one
+LEAST_SHARE = 1e-6  # and of all n-grams of a language; so it has a million at most
 UNKNOWN = "und"
 
 _FOLD = LOWER.copy()
@@ -57,6 +58,11 @@ def cells(codes: np.ndarray, size: int) -> list[np.ndarray]:
     return [((h >> np.uint64(32 * k)) & np.uint64(size - 1)).astype(np.int64) for k in range(HASHES)]
 
 
+def least_count(total: int) -> float:
+    """Occurrences that an n-gram needs in a language of ``total``: one counts where there are few."""
+    return max(min(LEAST, total / LEAST_OF), LEAST_SHARE * total)
+
+
 @dataclass
 class LanguageFilters:
     """``bits[slice][cell]``: a bit for each language of the slice that has an n-gram there."""
@@ -91,9 +97,8 @@ def learn_languages(docs: DataFrame, text: str = "text", lang: str = "lang") ->
     """Filters from the texts with a language; all of them, whole.
 
     Every task counts its n-grams by language; sums over all tasks decide which
-    languages have an n-gram: those with at least ``LEAST`` occurrences,
-    ``LEAST_SHARE`` of the language's n-grams and ``SHARE`` of the n-gram's
-    highest relative frequency. The filters' size follows the largest language.
+    languages have an n-gram: those with ``least_count`` occurrences and ``SHARE``
+    of the n-gram's highest relative frequency. The filters' size follows the largest language.
     What comes to the driver is one mask a cell at most for each 32 languages. Rows
     with a null language or text teach nothing; without any, there are no languages.
     """
@@ -128,12 +133,14 @@ def learn_languages(docs: DataFrame, text: str = "text", lang: str = "lang") ->
     if not languages:
         return LanguageFilters([], np.zeros((1, CELLS), np.uint32))
 
+    least = {name: least_count(n) for name, n in totals.items()}
+
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = {name: i for i, name in enumerate(languages)}
         for batch in batches:
             sets = [[], []]
             for gram, found in zip(batch.column("gram").to_pylist(), batch.column("found").to_pylist()):
-                rate = {f["lang"]: f["n"] / totals[f["lang"]] for f in found if f["n"] >= max(LEAST, LEAST_SHARE * totals[f["lang"]])}
+                rate = {f["lang"]: f["n"] / totals[f["lang"]] for f in found if f["n"] >= least[f["lang"]]}
                 top = max(rate.values(), default=0)
                 for name, r in rate.items():
                     if r >= SHARE * top:
@@ -156,6 +163,8 @@ def learn_languages(docs: DataFrame, text: str = "text", lang: str = "lang") ->
     at_slice, cell, mask = (c.to_numpy() for c in masks.toArrow().columns)
     bits = np.zeros((-(-len(languages) // 32), size), np.uint32)
     bits[at_slice, cell] = mask
+    for table in (counts, chosen):
+        discard(table)
     return LanguageFilters(languages, bits)
 
 
@@ -165,12 +174,12 @@ def predict_languages(docs: DataFrame, model: LanguageFilters, text: str = "text
     ``und`` and 0 for a text that is null or has no letter; a text with letters
     but no known n-gram gets the first language and 0, and ``und`` if none was
     learned. Ties go to the first language by name. Columns of ``docs`` named
-    like the two new ones are replaced. With ``reject`` a text that has n-grams,
+    like the two new ones are replaced; names may hold dots. Any length of text. With ``reject`` a text that has n-grams,
     but none in any language after the correction, is ``und`` too.
     """
     known = docs.sparkSession.sparkContext.broadcast(model)
     kept = [c for c in docs.columns if c.lower() not in (lang.lower(), score.lower())]
-    rows = docs.select(*kept, F.lit(None).cast("string").alias(lang), F.lit(None).cast("double").alias(score))
+    rows = docs.select(*map(column, kept), F.lit(None).cast("string").alias(lang), F.lit(None).cast("double").alias(score))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = known.value
@@ -193,4 +202,4 @@ def predict_languages(docs: DataFrame, model: LanguageFilters, text: str = "text
             columns = dict(zip(batch.schema.names, batch.columns)) | {lang: pa.array(names, pa.string()), score: pa.array(shares, pa.float64())}
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
-    return rows.mapInArrow(run, rows.schema)
+    return map_batches(rows, run, rows.schema)

@@ -8,6 +8,7 @@ mandatory trigrams scans every document.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from re import _constants as sre
 from re import _parser
@@ -15,6 +16,8 @@ from re import _parser
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import column, unused
+
 MOST_STRINGS = 64
 
 
@@ -155,28 +158,54 @@ def candidates(postings: DataFrame, queries: dict[str, Query]) -> DataFrame:
     return grams.select("key", kinds.alias("kinds")).where(F.size("kinds") > 0)
 
 
+SPAN = "struct<start:int,order:int,end:int>"
+STEPS = 256  # matches whose places are added up together
+
+
+def _with(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), then), 0)
+
+
 def rule_spans(text: Column, rule: Rule, order: int) -> Column:
     """Leftmost non-overlapping matches as structs (start, order, end), in code points, end exclusive.
 
     The text between the matches gives their places: the parts of ``split`` and
-    the matches take turns.
+    the matches take turns. Places are sums of lengths, taken in blocks of
+    ``STEPS`` matches, so the work grows with the matches.
     """
-    pattern = F.lit(rule.pattern)
-    parts = F.transform(F.split(text, rule.pattern, -1), F.length)
-    sizes = F.transform(F.regexp_extract_all(text, pattern, F.lit(0)), F.length)
-    kept = F.transform(F.regexp_extract_all(text, pattern, F.lit(rule.group)), F.length)
-    span = "struct<start:int,order:int,end:int>"
-    begun = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{span}>").alias("out"))
+    none = F.array().cast(f"array<{SPAN}>")
+
+    def sized(hits: Column) -> Column:
+        kept = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)) if rule.group else hits
+        parts = F.slice(F.split(text, rule.pattern, -1), 1, F.size(hits))
+        zipped = F.zip_with(parts, hits, lambda p, h: F.struct(F.length(p).alias("part"), F.length(h).alias("size")))
+        return F.zip_with(zipped, kept, lambda z, k: F.struct(z["part"].alias("part"), z["size"].alias("size"), F.length(k).alias("kept")))
+
+    def added(start: Column, block: Column) -> Column:
+        begun = F.struct(start.alias("at"), none.alias("out"))
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + x["part"]
-        end = start + x["size"]
-        found = F.struct(start.alias("start"), F.lit(order).alias("order"), end.alias("end"))
-        out = F.when(x["kept"] >= rule.least, F.concat(acc["out"], F.array(found))).otherwise(acc["out"])
-        return F.struct(end.alias("at"), out.alias("out"))
+        def step(acc: Column, x: Column) -> Column:
+            first = acc["at"] + x["part"]
+            end = first + x["size"]
+            found = F.struct(first.alias("start"), F.lit(order).alias("order"), end.alias("end"))
+            out = F.when(x["kept"] >= rule.least, F.concat(acc["out"], F.array(found))).otherwise(acc["out"])
+            return F.struct(end.alias("at"), out.alias("out"))
 
-    zipped = F.arrays_zip(F.slice(parts, 1, F.size(sizes)).alias("part"), sizes.alias("size"), kept.alias("kept"))
-    return F.when(F.size(sizes) > 0, F.aggregate(zipped, begun, step)["out"]).otherwise(F.array().cast(f"array<{span}>"))
+        return F.aggregate(block, begun, step)["out"]
+
+    def placed(matches: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(1), F.size(matches), F.lit(STEPS)), lambda i: F.slice(matches, i, STEPS))
+
+        def summed(blocks: Column) -> Column:
+            sizes = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda n, x: n + x["part"] + x["size"]))
+            starts = F.aggregate(sizes, F.array(F.lit(0)), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
+            return _with(starts, lambda at: F.flatten(F.transform(blocks, lambda b, i: added(F.get(at, i), b))))
+
+        return _with(blocks, summed)
+
+    hits = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
+    return _with(hits, lambda hits: F.when(F.size(hits) > 0, _with(sized(hits), placed)).otherwise(none))
 
 
 def find_secrets(docs: DataFrame, text: str = "text", rules: list[Rule] = RULES, spans: str = "secret_spans") -> DataFrame:
@@ -184,28 +213,29 @@ def find_secrets(docs: DataFrame, text: str = "text", rules: list[Rule] = RULES,
 
     The documents meet the candidates of the index by a hash of their whole
     row; a collision only makes a document run an expression in vain. A null or
-    empty text has no span; repeated rows have the same spans each. A column of
+    empty text has no span; repeated rows have the same spans each; the work
+    grows with a text's length and matches, however many. A column of
     ``docs`` named ``spans`` is replaced.
     """
     queries = {r.kind: trigram_query(r.pattern) for r in rules}
     indexed = {k: q for k, q in queries.items() if q is not None}
     kept = [c for c in docs.columns if c.lower() != spans.lower()]
-    keyed = docs.select(F.struct(*kept).alias("row"), F.xxhash64(*kept).alias("key"))
+    keyed = docs.select(F.struct(*map(column, kept)).alias("row"), F.xxhash64(*map(column, kept)).alias("key"))
     if indexed:
         words = sorted({t for q in indexed.values() for s in q for t in s})
-        postings = trigram_postings(keyed.select("key", F.col("row")[text].alias("text")), "key", "text", words)
+        postings = trigram_postings(keyed.select("key", F.col("row").getField(text).alias("text")), "key", "text", words)
         found = candidates(postings, indexed)
         keyed = keyed.join(found, "key", "left")
     else:
         keyed = keyed.withColumn("kinds", F.lit(None).cast("array<string>"))
-    value = F.coalesce(F.col("row")[text], F.lit(""))
-    none = F.array().cast("array<struct<start:int,order:int,end:int>>")
+    value = F.coalesce(F.col("row").getField(text), F.lit(""))
+    none = F.array().cast(f"array<{SPAN}>")
     each = []
     for i, rule in enumerate(rules):
         own = rule_spans(value, rule, i)
         each.append(F.when(F.coalesce(F.array_contains("kinds", rule.kind), F.lit(False)), own).otherwise(none) if rule.kind in indexed else own)
     return keyed.select(F.col("row"), F.array_sort(F.concat(*each)).alias("spans")).select(
-        *[F.col("row")[c].alias(c) for c in kept], F.col("spans").alias(spans)
+        *[F.col("row").getField(c).alias(c) for c in kept], F.col("spans").alias(spans)
     )
 
 
@@ -219,23 +249,28 @@ def span_text(spans: Column, rules: list[Rule] = RULES) -> Column:
 
 def redacted(docs: DataFrame, text: str = "text", rules: list[Rule] = RULES, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every secret span's text replaced by ``mark`` (overlapping spans by one); the columns stay."""
-    found = find_secrets(docs, text, rules, "_secret_spans")
-    value = F.col(text)
-    begun = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    own = unused(docs.columns, "secret_spans")
+    found = find_secrets(docs, text, rules, own)
+    value = column(text)
+
+    def cut(part: Column, first: Column, spans: Column) -> Column:
+        """The text from place ``first`` on, without the spans that start there or later."""
+        begun = F.struct(first.alias("at"), F.lit("").alias("out"))
+
+        def step(acc: Column, s: Column) -> Column:
+            new = s["start"] >= acc["at"]
+            more = F.concat(acc["out"], F.substring(part, acc["at"] - first + 1, s["start"] - acc["at"]), F.lit(mark))
+            return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(new, more).otherwise(acc["out"]).alias("out"))
 
-    def step(acc: Column, s: Column) -> Column:
-        new = s["start"] >= acc["at"]
-        more = F.concat(acc["out"], F.substring(value, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(new, more).otherwise(acc["out"]).alias("out"))
+        return F.aggregate(spans, begun, step, lambda acc: F.concat(acc["out"], F.substring(part, acc["at"] - first + 1, F.length(part))))
 
-    done = F.aggregate("_secret_spans", begun, step, lambda acc: F.concat(acc["out"], F.substring(value, acc["at"] + 1, F.length(value))))
-    clean = F.when(F.size("_secret_spans") > 0, done).otherwise(value)
-    return found.select(*[clean.alias(c) if c == text else F.col(c) for c in docs.columns])
+    clean = F.when(F.size(column(own)) > 0, cut(value, F.lit(0), column(own))).otherwise(value)
+    return found.select(*[clean.alias(c) if c == text else column(c) for c in docs.columns])
 
 
 def secret_report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: spans by base kind, a digest of the base spans, and all spans."""
-    found = find_secrets(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")))
+    found = find_secrets(docs.select(column(key).alias("doc_id"), column(text).alias("text")))
     base = F.filter("secret_spans", lambda s: s["order"] < len(BASE))
 
     def of(order: int) -> Column:
