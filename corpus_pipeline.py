@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardstats.llm import decontamination, jaccard, language, packing, secrets
-from wardstats.llm.common import ship_package, stored
+from wardstats.llm.common import column, ship_package, stored, unused
 from wardstats.llm.queries import TOKENIZER
 
 
@@ -24,8 +24,9 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     nothing can be told and every document goes.
     """
     model = language.learn_languages(docs)
-    found = language.predict_languages(docs, model, lang="_lang_found", score="_lang_score", reject=True)
-    return found.where(F.col("_lang_found") != language.UNKNOWN).select(*docs.columns)
+    found, score = unused(docs.columns, "found_lang"), unused(docs.columns, "found_score")
+    told = language.predict_languages(docs, model, lang=found, score=score, reject=True)
+    return told.where(column(found) != language.UNKNOWN).select(*map(column, docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +45,8 @@ def secret_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     if "n_chars" not in docs.columns:
         return clean
     size = F.length("text").cast(docs.schema["n_chars"].dataType)
-    return clean.select(*[F.when(F.col("text").isNull(), F.col(c)).otherwise(size).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
+    counted = F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(size).alias("n_chars")
+    return clean.select(*[counted if c == "n_chars" else column(c) for c in docs.columns])
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
