@@ -112,13 +112,15 @@ def sketches(texts: DataFrame, similar: int = SIMILAR) -> DataFrame:
     return stored(texts.select("uid", "text").mapInArrow(run, shape), "sketches")
 
 
-def within_reach(n: str, bits: str, other_n: str, other_bits: str, similar: int = SIMILAR) -> Column:
+def _words(bits: str) -> list[Column]:
+    return [F.col(bits)[i] for i in range(BITS // 64)]
+
+
+def within_reach(n: str, bits: list[Column], other_n: str, other_bits: list[Column], similar: int = SIMILAR) -> Column:
     """Whether two texts' sizes, and the Hamming distance of their bits, leave room for that similarity."""
-    apart = [F.bit_count(F.col(bits)[i].bitwiseXOR(F.col(other_bits)[i])) for i in range(BITS // 64)]
-    room = (F.col(n) + F.col(other_n)) * (100 - similar)
+    apart = [F.bit_count(x.bitwiseXOR(y)) for x, y in zip(bits, other_bits)]
     sizes = F.least(n, other_n) * 100 >= F.greatest(n, other_n) * similar
-    # The first quarter alone tells most texts apart.
-    return sizes & (sum(apart[: len(apart) // 4]) * (100 + similar) <= room) & (sum(apart) * (100 + similar) <= room)
+    return sizes & (sum(apart) * (100 + similar) <= (F.col(n) + F.col(other_n)) * (100 - similar))
 
 
 def reachable(pairs: DataFrame, sizes: DataFrame, similar: int = SIMILAR) -> DataFrame:
@@ -126,7 +128,7 @@ def reachable(pairs: DataFrame, sizes: DataFrame, similar: int = SIMILAR) -> Dat
     for side in ("a", "b"):
         own = sizes.select(F.col("uid").alias(side), F.col("n_shingles").alias(f"n_{side}"), F.col("bits").alias(f"bits_{side}"))
         pairs = pairs.join(own, side)
-    return pairs.where(within_reach("n_a", "bits_a", "n_b", "bits_b", similar)).select("a", "b")
+    return pairs.where(within_reach("n_a", _words("bits_a"), "n_b", _words("bits_b"), similar)).select("a", "b")
 
 
 def candidate_groups(sketched: DataFrame) -> DataFrame:
@@ -186,20 +188,25 @@ def similar_components(texts: DataFrame, sketched: DataFrame, sizes: DataFrame,
     star = groups.join(leaders, "key").where("a < uid").select("a", F.col("uid").alias("b")).distinct()
     star = stored(reachable(star, sizes, similar), "star")
     tried = stored(star.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "pairs")
-    links = verified(tried, alive, similar)
-    labels = stored(components(links), "labels")
+    labels = [stored(components(verified(tried, alive, similar)), "labels")]
 
     def labelled(rows: DataFrame, node: str, name: str) -> DataFrame:
-        own = labels.select(F.col("node").alias(node), F.col("label").alias(name))
-        return rows.join(own, node, "left").withColumn(name, F.coalesce(name, node))
+        rows = rows.withColumn(name, F.col(node))
+        for table in labels:
+            own = table.select(F.col("node").alias(name), F.col("label").alias("_label"))
+            rows = rows.join(own, name, "left").withColumn(name, F.coalesce("_label", name)).drop("_label")
+        return rows
 
     def apart(pairs: DataFrame) -> DataFrame:
-        new = pairs.join(tried, ["a", "b"], "left_anti")
-        return stored(labelled(labelled(new, "a", "la"), "b", "lb").where("la <> lb").select("a", "b"), "pairs")
+        return labelled(labelled(pairs, "a", "la"), "b", "lb").where("la <> lb")
+
+    def tie(links: DataFrame) -> None:
+        """Components of the components that the links join: a pair of them counts once."""
+        joined = apart(links).select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct()
+        labels.append(stored(components(joined), "labels"))
 
-    more = apart(star)
-    links = links.unionByName(verified(more, alive, similar))
-    labels = stored(components(links), "labels")
+    more = stored(apart(star.join(tried, ["a", "b"], "left_anti")).select("a", "b"), "pairs")
+    tie(verified(more, alive, similar))
     tried = tried.unionByName(more)
 
     # What is left are pairs of texts in different components. A pair comes out
@@ -209,20 +216,29 @@ def similar_components(texts: DataFrame, sketched: DataFrame, sizes: DataFrame,
     own = stored(labelled(groups, "uid", "l"), "labelled")
     open_keys = own.groupBy("key").agg(F.min("l").alias("first"), F.max("l").alias("last")).where("first < last").select("key")
     opened = own.join(stored(open_keys, "open-keys"), "key").groupBy("uid").agg(F.min("l").alias("l"), F.array_sort(F.collect_list("key")).alias("keys"))
-    smaller = F.transform("keys", lambda k, i: F.struct(k.alias("key"), F.slice("keys", F.greatest(i - BEFORE, F.lit(0)) + 1, F.least(i, F.lit(BEFORE))).alias("before")))
-    left = opened.join(sizes, "uid").select("uid", "l", "n_shingles", "bits", F.inline(smaller))
+    smaller = F.transform("keys", lambda k, i: F.struct(
+        k.alias("key"), F.when(i > 0, F.get("keys", i - 1)).alias("last"),
+        F.slice("keys", F.greatest(i - BEFORE, F.lit(0)) + 1, F.least(i, F.lit(BEFORE))).alias("before"),
+    ))
+    # A column a word of the bits: this join reads them for every pair under a key.
+    sketch = [f"bits{i}" for i in range(BITS // 64)]
+    left = opened.join(sizes, "uid").select("uid", "l", "n_shingles", *[x.alias(c) for x, c in zip(_words("bits"), sketch)], F.inline(smaller))
     left = stored(left, "open")
     discard(own)
-    right = left.select("key", *[F.col(c).alias(f"{c}_b") for c in ("uid", "l", "n_shingles", "bits", "before")])
-    near = F.expr("uid < uid_b and l <> l_b") & within_reach("n_shingles", "bits", "n_shingles_b", "bits_b", similar) & ~F.arrays_overlap("before", "before_b")
+    right = left.select("key", *[F.col(c).alias(f"{c}_b") for c in ("uid", "l", "n_shingles", *sketch, "last", "before")])
+    # The cheapest first: near copies mostly agree in the key before as well.
+    near = F.expr("uid < uid_b and l <> l_b and coalesce(last <> last_b, true)")
+    near = near & within_reach("n_shingles", [F.col(c) for c in sketch], "n_shingles_b", [F.col(f"{c}_b") for c in sketch], similar)
+    near = near & ~F.arrays_overlap("before", "before_b")
     cross = left.join(right, "key").where(near).select(F.col("uid").alias("a"), F.col("uid_b").alias("b"))
     # Written first: else Spark may look for the pairs already tried before it folds equal ones.
     cross = stored(cross.distinct(), "cross")
     discard(left)
     rest = stored(cross.join(tried, ["a", "b"], "left_anti"), "pairs")
-    links = stored(links.unionByName(verified(rest, alive, similar)), "links")
+    tie(verified(rest, alive, similar))
     discard(alive)
-    return components(links)
+    nodes = labels[0].select("node").unionByName(labels[1].select("node")).unionByName(labels[2].select("node")).distinct()
+    return labelled(nodes, "node", "label")
 
 
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similar: int = SIMILAR) -> DataFrame:
