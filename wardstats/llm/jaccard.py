@@ -18,6 +18,7 @@ part. Candidates are verified on the sets.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,7 @@ from .words import U64, Words, mix, runs
 SHINGLE = 5
 SIMILAR = 80  # per cent
 BITS = 1024  # of the sketch that candidates are compared by
+MEETINGS = 2  # rounds in which each component tries one pair before all that are left are tried
 BEFORE = 12  # of a text's keys, just smaller than one, that go with it into the join
 
 
@@ -235,9 +237,15 @@ def similar_components(texts: DataFrame, sketched: DataFrame, sizes: DataFrame,
     cross = stored(cross.distinct(), "cross")
     discard(left)
     rest = stored(cross.join(tried, ["a", "b"], "left_anti"), "pairs")
+    # First one pair for each component: where it holds, the others between the two need no look.
+    for _ in range(MEETINGS):
+        larger = F.greatest("la", "lb").alias("l")
+        first = stored(apart(rest).groupBy(larger).agg(F.min(F.struct("a", "b")).alias("p")).select("p.a", "p.b"), "pairs")
+        tie(verified(first, alive, similar))
+        rest = stored(apart(rest.join(first, ["a", "b"], "left_anti")).select("a", "b"), "pairs")
     tie(verified(rest, alive, similar))
     discard(alive)
-    nodes = labels[0].select("node").unionByName(labels[1].select("node")).unionByName(labels[2].select("node")).distinct()
+    nodes = reduce(DataFrame.unionByName, [table.select("node") for table in labels]).distinct()
     return labelled(nodes, "node", "label")
 
 
