@@ -144,24 +144,30 @@ def held_out(doc_id, of, rest):
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % of == rest
 
 
-def scores(docs, prior):
-    tokens = [[*WORD.findall(lower(t)), None] for _, t in docs]
-    one, two, n_texts = Counter(), Counter(), 0
+def scores(docs, prior, order):
+    tokens = [[0, *WORD.findall(lower(t)), None] for _, t in docs]
+    seen, n_texts = Counter(), 0
     for (d, _), ts in zip(docs, tokens):
         if not held_out(d, 7, 2):
             n_texts += 1
-            one.update(ts)
-            two.update(zip([0, *ts], ts))
+            for k in range(1, order + 1):
+                seen.update(tuple(ts[i : i + k]) for i in range(k == 1, len(ts) - k + 1))
+    one = {gram[0]: n for gram, n in seen.items() if len(gram) == 1}
     total, kinds = sum(one.values()), len(one)
+    seen[(0,)] = n_texts
+
+    def chance(gram):
+        if len(gram) == 1:
+            return (seen[gram] + 1) / (total + kinds + 1)
+        return (seen[gram] + prior * chance(gram[1:])) / (seen[gram[:-1]] + prior)
+
     out = []
-    for (d, _), ts in zip(docs, tokens):
+    for (d, _), (start, *ts) in zip(docs, tokens):
         base = score = 0.0
-        for h, w in zip([0, *ts], ts):
-            p1 = (one[w] + 1) / (total + kinds + 1)
-            c = n_texts if h == 0 else one[h]
-            base += math.log10(p1)
-            score += math.log10((two[h, w] + prior * p1) / (c + prior))
-        out.append((d, held_out(d, 7, 2), len(ts), sum(one[w] > 0 for w in ts), total, base, score))
+        for i, w in enumerate(ts):
+            base += math.log10((one.get(w, 0) + 1) / (total + kinds + 1))
+            score += math.log10(chance((start, *ts)[max(0, i + 2 - order) : i + 2]))
+        out.append((d, held_out(d, 7, 2), len(ts), sum(one.get(w, 0) > 0 for w in ts), total, base, score))
     return out
 
 

@@ -2,7 +2,9 @@
 
 import random
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -233,17 +235,67 @@ def test_huffman_lengths_are_best_and_limited():
     assert token_files.code_lengths({7: 3}) == {7: 1} and token_files.code_lengths({}) == {}
 
 
-def test_scoring(docs, corpus):
+@pytest.mark.parametrize("order, size, segment", [(3, 10**7, 512), (3, 4000, 7), (1, 4000, 512), (2, 9000, 5), (5, 3000, 6)])
+def test_scoring(docs, corpus, monkeypatch, order, size, segment):
+    """One chunk and many, texts longer than a lane, every order."""
     from pyspark.sql import functions as F
 
+    monkeypatch.setattr(scoring, "CHUNK_BYTES", size)
+    monkeypatch.setattr(scoring, "SEGMENT", segment)
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(False))
-    got = scoring.score_documents(docs.drop("score"), ~held_out).collect()
-    want = sorted(brute.scores(pairs(corpus), scoring.PRIOR), key=str)
-    mine = sorted(((r["doc_id"], brute.held_out(r["doc_id"], 7, 2), r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"], r["score"]) for r in got), key=str)
+    named = docs.drop("score").withColumnRenamed("hash", "a.b")
+    scored = scoring.score_documents(named, ~held_out, order=order)
+    assert scored.columns[:-5] == [c for c in named.columns if c not in scored.columns[-5:]]
+    got = scored.collect()
+    want = brute.scores(pairs(corpus), scoring.PRIOR, order)
+    mine = [(r["doc_id"], brute.held_out(r["doc_id"], 7, 2), r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"], r["score"]) for r in got]
+    assert len(mine) == len(want)
     for a, b in zip(sorted(mine, key=lambda r: (str(r[0]), r[2])), sorted(want, key=lambda r: (str(r[0]), r[2]))):
         assert a[:5] == b[:5] and a[5:] == pytest.approx(b[5:])
 
 
+def _automaton(texts, order):
+    chunk = scoring.Chunk(pa.array(texts, pa.string()), np.ones(len(texts), bool), order)
+    return chunk, scoring.Automaton(chunk, chunk.local, int(chunk.local[1].sum()), len(chunk.local[1]), len(texts))
+
+
+def test_states_add_up_to_one(corpus):
+    """Arcs of a state, and what its failure arc leaves for all other words, the unknown one included."""
+    chunk, model = _automaton([t for _, t in pairs(corpus)], 4)
+    for k in range(2, 5):
+        arcs, shorter = (np.bincount(chunk.context[k], weights=10 ** w) for w in (model.weight[k], model.weight[k - 1][chunk.suffix[k]]))
+        states = model.base[k - 1] + np.arange(len(arcs))
+        whole = arcs + 10 ** model.backoff[states] * (1 - shorter)
+        followed = np.bincount(chunk.context[k]) > 0
+        assert whole[followed] == pytest.approx(1)
+    root = (10 ** model.weight[1]).sum() + 1 / (chunk.local[1].sum() + len(chunk.local[1]) + 1)
+    assert root == pytest.approx(1)
+
+
+def test_failure_arcs_lead_to_the_next_shorter_state():
+    chunk, model = _automaton(["a b c", "b c d", "x"], 3)
+    assert (model.depth[model.failure[1:]] == model.depth[1:] - 1).all() and model.failure[0] == 0
+    # After "b c" the arc to "d" exists; after "a b", "d" fails twice and is reached from the root.
+    at = {w: i for i, w in zip(range(1, 5), ["a", "b", "c", "end"])}
+    bc = chunk.at[2][at["c"]] + model.base[2]
+    d = chunk.first[1] + 3
+    state, weight = model.step(np.array([bc]), np.array([d]))
+    assert model.depth[state[0]] == 2 and weight[0] == pytest.approx(model.weight[3][chunk.at[3][d]])
+
+
+def test_copies_score_apart(spark):
+    """Of texts drawn alike, those that occur twice are likelier than those that occur once."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(11)
+    texts = [" ".join(f"w{int(rng.paretovariate(0.8))}" for _ in range(120)) for _ in range(300)]
+    rows = list(enumerate([*texts, *texts[:30]]))
+    got = scoring.score_documents(spark.createDataFrame(rows, "doc_id long, text string"), F.lit(True)).collect()
+    mean = {r["doc_id"]: r["score"] - r["base_score"] for r in got}
+    apart = sorted(mean[i] for i in range(30, 300))[int(270 * 0.9)]
+    assert sum(mean[i] > apart for i in range(30)) >= 27
+
+
 def test_nearest(spark):
     ship_package(spark)
     rng = random.Random(1)
