@@ -242,7 +242,9 @@ def similar_components(texts: DataFrame, sketched: DataFrame, sizes: DataFrame,
         larger = F.greatest("la", "lb").alias("l")
         first = stored(apart(rest).groupBy(larger).agg(F.min(F.struct("a", "b")).alias("p")).select("p.a", "p.b"), "pairs")
         tie(verified(first, alive, similar))
-        rest = stored(apart(rest.join(first, ["a", "b"], "left_anti")).select("a", "b"), "pairs")
+        # Written between: else Spark looks for the pairs just verified before it drops those of one component.
+        rest = stored(apart(rest).select("a", "b"), "pairs")
+        rest = stored(rest.join(first, ["a", "b"], "left_anti"), "pairs")
     tie(verified(rest, alive, similar))
     discard(alive)
     nodes = reduce(DataFrame.unionByName, [table.select("node") for table in labels]).distinct()
