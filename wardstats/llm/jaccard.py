@@ -18,7 +18,6 @@ part. Candidates are verified on the sets.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -190,22 +189,27 @@ def similar_components(texts: DataFrame, sketched: DataFrame, sizes: DataFrame,
     star = groups.join(leaders, "key").where("a < uid").select("a", F.col("uid").alias("b")).distinct()
     star = stored(reachable(star, sizes, similar), "star")
     tried = stored(star.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "pairs")
-    labels = [stored(components(verified(tried, alive, similar)), "labels")]
+    labels = components(verified(tried, alive, similar))
 
     def labelled(rows: DataFrame, node: str, name: str) -> DataFrame:
-        rows = rows.withColumn(name, F.col(node))
-        for table in labels:
-            own = table.select(F.col("node").alias(name), F.col("label").alias("_label"))
-            rows = rows.join(own, name, "left").withColumn(name, F.coalesce("_label", name)).drop("_label")
-        return rows
+        own = labels.select(F.col("node").alias(node), F.col("label").alias("_label"))
+        return rows.join(own, node, "left").withColumn(name, F.coalesce("_label", node)).drop("_label")
 
     def apart(pairs: DataFrame) -> DataFrame:
         return labelled(labelled(pairs, "a", "la"), "b", "lb").where("la <> lb")
 
     def tie(links: DataFrame) -> None:
         """Components of the components that the links join: a pair of them counts once."""
-        joined = apart(links).select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct()
-        labels.append(stored(components(joined), "labels"))
+        nonlocal labels
+        joined = apart(links).select(F.col("la").alias("a"), F.col("lb").alias("b"))
+        joined = components(joined)
+        whole = labels.join(joined.select(F.col("node").alias("label"), F.col("label").alias("_label")), "label", "left")
+        whole = whole.select("node", F.coalesce("_label", "label").alias("label"))
+        # Nodes that stood alone so far have no row yet; those with one are their component's label, or tied above.
+        new = joined.join(labels, "node", "left_anti").select("node", "label")
+        old, labels = labels, stored(whole.unionByName(new), "labels")
+        for table in (old, joined):
+            discard(table)
 
     more = stored(apart(star.join(tried, ["a", "b"], "left_anti")).select("a", "b"), "pairs")
     tie(verified(more, alive, similar))
@@ -247,8 +251,7 @@ def similar_components(texts: DataFrame, sketched: DataFrame, sizes: DataFrame,
         rest = stored(rest.join(first, ["a", "b"], "left_anti"), "pairs")
     tie(verified(rest, alive, similar))
     discard(alive)
-    nodes = reduce(DataFrame.unionByName, [table.select("node") for table in labels]).distinct()
-    return labelled(nodes, "node", "label")
+    return labels
 
 
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similar: int = SIMILAR) -> DataFrame:
