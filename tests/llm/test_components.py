@@ -7,6 +7,7 @@ import random
 import numpy as np
 import pytest
 
+from wardstats.llm import common, jaccard
 from wardstats.llm.components import components, forest
 
 
@@ -54,3 +55,35 @@ def test_components(spark, name, task_links):
     links = spark.createDataFrame(GRAPHS[name], "a long, b long").repartition(3)
     rows = components(links, task_links).collect()
     assert {r["node"]: r["label"] for r in rows} == plain(GRAPHS[name]) and len(rows) == len({r["node"] for r in rows})
+
+
+def test_intermediate_tables_go(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(common, "shared_folder", lambda spark: str(tmp_path))
+    left = lambda: sorted(p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir())
+    with common.intermediate() as outer:
+        with common.intermediate() as keep:
+            first = common.stored(spark.range(3), "first")
+            second = keep(first, "second")
+        assert left() == ["second"] and second.count() == 3
+        with pytest.raises(ZeroDivisionError), common.intermediate():
+            common.stored(second, "third")
+            raise ZeroDivisionError
+        assert left() == ["second"]
+        last = outer(second, "last")
+    assert left() == ["last"] and last.count() == 3
+
+
+def test_near_duplicates_leave_one_table(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(common, "shared_folder", lambda spark: str(tmp_path))
+    docs = spark.createDataFrame([(i, " ".join(map(str, range(i % 4, 40)))) for i in range(9)], "doc_id long, text string")
+    assert jaccard.near_duplicate_components(docs).count() == 9
+    assert [p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir()] == ["classes"]
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Session:
+        conf = {}
+        sparkContext = type("Context", (), {"master": "yarn"})
+
+    with pytest.raises(ValueError):
+        common.shared_folder(Session)

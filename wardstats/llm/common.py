@@ -8,6 +8,7 @@ import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 import pyarrow as pa
@@ -21,9 +22,11 @@ CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one where that is unset, as in tests."""
+    """The folder named by ``spark.checkpoint.dir``; a temporary one where that is unset and all runs on one machine."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir names no folder; the executors need one that they share")
         folder = tempfile.mkdtemp(prefix="wardstats-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
@@ -40,6 +43,10 @@ def cleaned_shuffles(spark: SparkSession):
         spark.conf.set(CLEAN_SHUFFLES, before)
 
 
+# The (session, path) of the tables written in the innermost ``intermediate`` block.
+_written: ContextVar[list | None] = ContextVar("written", default=None)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to the shared folder and read again.
 
@@ -48,18 +55,47 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    if _written.get() is not None:
+        _written.get().append((spark, path))
     with cleaned_shuffles(spark):
         df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def intermediate() -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Tables that ``stored`` writes inside go at the end, or when the work inside fails.
+
+    The function that it gives stores a table that stays, until the block around this one ends.
+    """
+    outer, own, kept = _written.get(), [], []
+    token = _written.set(own)
+
+    def keep(df: DataFrame, label: str) -> DataFrame:
+        table = stored(df, label)
+        kept.append(own.pop())
+        return table
+
+    try:
+        yield keep
+    finally:
+        _written.reset(token)
+        for spark, path in own:
+            _delete(spark, path)
+        if outer is not None:
+            outer.extend(kept)
+
+
 def discard(table: DataFrame) -> None:
     """Delete a table that ``stored`` has written and nothing reads any more."""
     files = table.inputFiles()
     if files:
-        spark = table.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path(files[0].rsplit("/", 1)[0])
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(table.sparkSession, files[0].rsplit("/", 1)[0])
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def column(name: str) -> Column:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, discard, slices, stored, text_key
+from .common import column, discard, intermediate, slices, stored, text_key
 from .components import components
 from .windows import Ranges, distinct_texts, per_document
 from .words import U64, Words, mix, runs
@@ -256,14 +256,13 @@ def similar_components(texts: DataFrame, sketched: DataFrame, sizes: DataFrame,
 
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similar: int = SIMILAR) -> DataFrame:
     """(hash, n_shingles, label, component) of every distinct text; ``component`` is its component's smallest id."""
-    texts = distinct_texts(docs, key, text)
-    sketched = sketches(texts, similar)
-    sizes = stored(sketched.where("bits is not null").select("uid", "n_shingles", "bits"), "sizes")
-    labels = similar_components(texts, sketched, sizes, similar)
-    ids = texts.select("uid", "hash", "first_id").join(sizes.drop("bits"), "uid").join(labels.withColumnRenamed("node", "uid"), "uid", "left")
-    ids = stored(ids.select("hash", "first_id", "n_shingles", F.coalesce("label", "uid").alias("label")), "classes")
-    for table in (texts, sizes):
-        discard(table)
+    with intermediate() as keep:
+        texts = distinct_texts(docs, key, text)
+        sketched = sketches(texts, similar)
+        sizes = stored(sketched.where("bits is not null").select("uid", "n_shingles", "bits"), "sizes")
+        labels = similar_components(texts, sketched, sizes, similar)
+        ids = texts.select("uid", "hash", "first_id").join(sizes.drop("bits"), "uid").join(labels.withColumnRenamed("node", "uid"), "uid", "left")
+        ids = keep(ids.select("hash", "first_id", "n_shingles", F.coalesce("label", "uid").alias("label")), "classes")
     least = ids.groupBy("label").agg(F.min("first_id").alias("component"))
     return ids.join(least, "label").select("hash", "n_shingles", "label", "component")
 
