@@ -236,18 +236,19 @@ def similar_components(texts: DataFrame, sketched: DataFrame, sizes: DataFrame,
     near = F.expr("uid < uid_b and l <> l_b and coalesce(last <> last_b, true)")
     near = near & within_reach("n_shingles", [F.col(c) for c in sketch], "n_shingles_b", [F.col(f"{c}_b") for c in sketch], similar)
     near = near & ~F.arrays_overlap("before", "before_b")
-    cross = left.join(right, "key").where(near).select(F.col("uid").alias("a"), F.col("uid_b").alias("b"))
+    cross = left.join(right, "key").where(near).select(*[F.col(c).alias(n) for c, n in (("uid", "a"), ("uid_b", "b"), ("l", "la"), ("l_b", "lb"))])
     # Written first: else Spark may look for the pairs already tried before it folds equal ones.
     cross = stored(cross.distinct(), "cross")
     discard(left)
     rest = stored(cross.join(tried, ["a", "b"], "left_anti"), "pairs")
     # First one pair for each component: where it holds, the others between the two need no look.
+    # Pairs keep their components' labels until a tie changes them.
     for _ in range(MEETINGS):
         larger = F.greatest("la", "lb").alias("l")
-        first = stored(apart(rest).groupBy(larger).agg(F.min(F.struct("a", "b")).alias("p")).select("p.a", "p.b"), "pairs")
+        first = stored(rest.groupBy(larger).agg(F.min(F.struct("a", "b")).alias("p")).select("p.a", "p.b"), "pairs")
         tie(verified(first, alive, similar))
         # Written between: else Spark looks for the pairs just verified before it drops those of one component.
-        rest = stored(apart(rest).select("a", "b"), "pairs")
+        rest = stored(apart(rest.select("a", "b")), "pairs")
         rest = stored(rest.join(first, ["a", "b"], "left_anti"), "pairs")
     tie(verified(rest, alive, similar))
     discard(alive)
