@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardstats.llm import decontamination, jaccard, language, packing, secrets
-from wardstats.llm.common import column, ship_package, stored, unused
+from wardstats.llm.common import column, intermediate, ship_package, unused
 from wardstats.llm.queries import TOKENIZER
 
 
@@ -67,9 +67,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage over ``documents``."""
+    """The rows of the last stage over ``documents``; what the stages write goes, but for the last one's table."""
     ship_package(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
-    return docs
+    with intermediate() as keep:
+        for name, stage in STAGES[:-1]:
+            with intermediate() as keep_stage:
+                docs = keep_stage(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        name, stage = STAGES[-1]
+        return keep(stage(spark, docs, sf_dir), name.replace(" ", "-"))
