@@ -87,3 +87,11 @@ def test_a_cluster_needs_a_shared_folder():
 
     with pytest.raises(ValueError):
         common.shared_folder(Session)
+
+
+def test_the_pipeline_leaves_its_last_table(spark, tmp_path, monkeypatch):
+    import corpus_pipeline
+
+    monkeypatch.setattr(common, "shared_folder", lambda spark: str(tmp_path))
+    rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    assert rows.count() and [p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir()] == ["packing"]
