@@ -323,6 +323,63 @@ def test_nearest_keeps_its_recall_over_many_lists(spark, monkeypatch):
     assert len(got & want) >= 0.99 * len(want)
 
 
+def python_rows(df):
+    """Rows that the Python nodes of a collected query's plan gave."""
+
+    def walk(node):
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return walk(node.plan())
+        rows = node.metrics().get("pythonNumRowsReceived")
+        return (rows.get().value() if rows.isDefined() else 0) + sum(walk(node.children().apply(i)) for i in range(node.children().size()))
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_nearest_compares_into_few_rows_over_many_lists(spark, monkeypatch):
+    """Eight lots of k rows a query at most leave the comparison, whatever the number of lists that it reads."""
+    ship_package(spark)
+    monkeypatch.setattr(ann, "LIST_SIZE", 16)
+    rng = random.Random(4)
+    for n in (1000, 5000):
+        table = spark.createDataFrame([(i, [rng.gauss(0, 1) for _ in range(32)]) for i in range(n)], "vec_id long, embedding array<double>")
+        found = ann.search(table, table.where("vec_id % 20 = 0"))
+        assert len(found.collect()) == n // 20 * 20
+        assert n // 20 * 20 <= python_rows(found) <= 8 * n // 20 * 20
+
+
+def test_nearest_over_many_blocks_and_parts(spark, monkeypatch):
+    ship_package(spark)
+    for name, value in {"LIST_SIZE": 16, "QUERY_BLOCK": 4, "CHUNK": 32}.items():
+        monkeypatch.setattr(ann, name, value)
+    rng = random.Random(6)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(8)]) for i in range(500)]
+    rows += [(i, rows[7][1]) for i in range(500, 640)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in sorted(ann.search(table, table.where("vec_id % 20 = 0"), search_ratio=float("inf")).collect()):
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    assert got == brute.nearest(rows)
+    # Lists 0 to 2 share a block; nine queries of one list are dealt over three.
+    assert ann._homes([3, 0, 1, 9, 1, 3, 1]) == [(0, 0, 1), (1, 0, 1), (2, 0, 1), (3, 1, 3), (4, 4, 1), (5, 4, 1), (6, 5, 1)]
+
+
+def test_nearest_counts_an_id_of_many_vectors_once(spark):
+    ship_package(spark)
+    rng = random.Random(8)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(8)]) for i in range(200)]
+    rows += [(200 + i % 3, [10 * x + rng.gauss(0, 1) for x in rows[0][1]]) for i in range(90)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [(r["vec_id"], r["score"]) for r in sorted(ann.search(table, table.where("vec_id = 0")).collect())]
+    score = {}
+    for i, v in rows[1:]:
+        score[i] = max(score.get(i, -np.inf), sum(x * y for x, y in zip(v, rows[0][1])))
+    want = sorted(score.items(), key=lambda x: (-x[1], x[0]))[:20]
+    assert [i for i, _ in got] == [i for i, _ in want] and np.allclose([s for _, s in got], [s for _, s in want])
+
+
 @pytest.mark.parametrize("name", ["op1", "op2", "op3", "op4", "op5", "op6", "op7", "op8", "op9", "op10", "op11", "op12", "op13", "pipeline"])
 def test_empty_tables(spark, tmp_path, name):
     import corpus_pipeline

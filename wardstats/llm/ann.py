@@ -3,7 +3,12 @@
 Centroids come from a bounded sample and are searched by a proximity graph in
 memory. Every vector stands in the list of its nearest centroid, and boundary
 vectors also in others almost as near. A query reads the lists whose centroids
-are within a ratio of its nearest one. Long lists are split into chunks.
+are within a ratio of its nearest one.
+
+Queries with near first lists share a block, and a vector comes to a block once
+for all lists that its queries read. The block's vectors are dealt over parts;
+each passes by in bounded slices, while every query keeps its k best so far. So
+the comparison gives k rows a query and part, however many lists it reads.
 
 The ratio is measured: some of the queries are compared with every vector, and
 it grows until the lists that they would read hold the wanted share of their
@@ -23,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import shuffle_width, stored
 
 SAMPLE = 20_000  # vectors that centroids are fitted on
 LIST_SIZE = 1024  # mean length of a list
@@ -34,7 +39,9 @@ RECALL, HELD_OUT = 0.995, 256  # share of true neighbours, and the queries that
 LEAST_SEEN = 8  # a query's lists hold at least this many times k vectors
 BEAM = 24
 DEGREE = 16
-CHUNK, QUERY_CHUNK = 4096, 1024
+CHUNK = 4096  # vectors that a task compares at once, and the least that are worth a part
+QUERY_BLOCK = 4096
+PARTS = 8  # of a block at most, unless all queries' results would still be fewer than the vectors
 
 
 @dataclass
@@ -47,7 +54,7 @@ class Centroids:
 
     @classmethod
     def fit(cls, sample: np.ndarray, n: int, rounds: int = 8) -> Centroids:
-        """Lloyd's rounds from evenly spaced sample rows; an empty centroid stays where it is."""
+        """Lloyd's rounds from evenly spaced sample rows; an empty centroid stays where it is. Near ones get near numbers."""
         points = sample[np.linspace(0, len(sample) - 1, n).astype(int)].copy()
         for _ in range(rounds):
             own = np.concatenate([_distances(part, points).argmin(1) for part in np.array_split(sample, len(sample) // 2048 + 1)])
@@ -55,6 +62,7 @@ class Centroids:
             sums = np.zeros_like(points)
             np.add.at(sums, own, sample)
             points[count > 0] = sums[count > 0] / count[count > 0, None]
+        points = points[_in_space(points)]
         degree = min(DEGREE, n - 1)
         near = []
         for part in np.array_split(np.arange(n), n // 2048 + 1):
@@ -102,8 +110,16 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum(0, (a * a).sum(1)[:, None] - 2 * a @ b.T + (b * b).sum(1)[None])
 
 
+def _in_space(points: np.ndarray) -> np.ndarray:
+    """Places of the points in an order that halves them along their widest axis, and each half again."""
+    if len(points) < 2:
+        return np.arange(len(points))
+    order = np.argsort(points[:, points.var(0).argmax()], kind="stable")
+    return np.concatenate([half[_in_space(points[half])] for half in np.array_split(order, 2)])
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
-    return np.array(column.to_pylist(), np.float64).reshape(len(column), -1)
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
 def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
@@ -183,30 +199,42 @@ def search(
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(lists, pa.list_(pa.int32()))], ["id", "v", "lists"])
 
     probes = stored(asked.mapInArrow(choose, shape), "probes")
-    asks = {r["l"]: r["n"] for r in probes.select(F.explode("lists").alias("l")).groupBy("l").agg(F.count("*").alias("n")).collect()}
-
-    # A list is a grid of chunks: its vectors by rows, its queries by columns.
-    grid = spark.createDataFrame(
-        [(i, -(-length[i] // CHUNK), -(-asks[i] // QUERY_CHUNK)) for i in length if i in asks], "l int, down int, across int"
-    )
-    dealt = F.xxhash64("id")
-
-    def cells(table: DataFrame, own: str, other: str) -> DataFrame:
-        out = table.select("id", "v", F.explode("lists").alias("l")).join(F.broadcast(grid), "l")  # MOST_LISTS rows at most
-        out = out.withColumn(own, F.pmod(dealt, F.col(own)).cast("int"))
-        return out.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
-
-    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
-        found = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
-        if len(left) and len(right):
-            x, q = (_matrix(t.column("v").combine_chunks()) for t in (left, right))
-            ids, own = (np.array(t.column("id"), np.int64) for t in (left, right))
-            parts = [_nearest(x, ids, q[i : i + 256], own[i : i + 256], k) for i in range(0, len(q), 256)]
-            found = [np.concatenate(column) for column in zip(*parts)]
-        return pa.table([pa.array(a) for a in found], ["query_id", "vec_id", "score"])
-
-    sides = [cells(t, a, b).groupBy("l", "down", "across") for t, a, b in ((postings, "down", "across"), (probes, "across", "down"))]
-    pairs = sides[0].cogroup(sides[1]).applyInArrow(compare, "query_id long, vec_id long, score double")
+    asks = {r["l"]: r["n"] for r in probes.groupBy(F.col("lists")[0].alias("l")).agg(F.count("*").alias("n")).collect()}
+    homes = spark.createDataFrame(_homes([asks.get(i, 0) for i in range(n_lists)]), "near int, first int, spread int")
+    block = (F.col("first") + F.pmod(F.xxhash64("id", "v"), F.col("spread"))).cast("int").alias("block")
+    probes = probes.withColumn("near", F.col("lists")[0]).join(F.broadcast(homes), "near").select(block, "id", "v", "lists")
+
+    reads = stored(probes.select("block", F.explode("lists").alias("l")).distinct(), "reads")
+    sizes = spark.createDataFrame([(i, length[i]) for i in length], "l int, n long")  # MOST_LISTS rows at most
+    read = reads.join(F.broadcast(sizes), "l").groupBy("block").agg(F.sum("n").alias("n")).collect()
+    most = max(PARTS, total // (k * sum(asks.values())))
+    parts = F.broadcast(spark.createDataFrame([(r["block"], min(-(-r["n"] // CHUNK), most)) for r in read], "block int, parts long"))
+
+    # Cells of a block and a part: first the queries, as of list -1, then the vectors by list.
+    part = F.explode(F.sequence(F.lit(0), (F.col("parts") - 1).cast("int"))).alias("part")
+    asking = probes.join(parts, "block").select("block", part, F.lit(-1).alias("l"), "id", "v", "lists")
+    part = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part")
+    held = postings.withColumn("l", F.explode("lists")).join(reads, "l").join(parts, "block").select("block", part, "l", "id", "v", "lists")
+    cells = asking.unionByName(held).repartition(shuffle_width(spark), "block", "part").sortWithinPartitions("block", "part", "l")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, last = _Cell(k, n_lists), None
+        for batch in batches:
+            places = np.stack([batch.column(c).to_numpy() for c in ("block", "part")], 1)
+            queries = batch.column("l").to_numpy() < 0
+            ends = np.flatnonzero((places[1:] != places[:-1]).any(1) | (queries[1:] != queries[:-1])) + 1
+            for start, end in zip([0, *ends], [*ends, len(places)]):
+                if last != (last := tuple(places[start])):
+                    yield cell.found()
+                    cell = _Cell(k, n_lists)
+                if queries[start]:
+                    cell.ask(batch.slice(start, end - start))
+                else:
+                    for i in range(start, end, CHUNK):
+                        cell.meet(batch.slice(i, min(CHUNK, end - i)))
+        yield cell.found()
+
+    pairs = cells.mapInArrow(compare, "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = pairs.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).withColumn("rank", F.row_number().over(best))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
@@ -272,23 +300,95 @@ def _measured_ratio(
     return (np.inf if len(place) else least), usual
 
 
-def _nearest(x: np.ndarray, ids: np.ndarray, q: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
-    """(query id, id, score) of each query's k nearest rows of one chunk.
+def _homes(asks: list[int]) -> list[tuple[int, int, int]]:
+    """(list, first block, number of blocks) for the queries nearest to each list.
+
+    Lists with near numbers share a block of ``QUERY_BLOCK`` queries; more than
+    that in one list are dealt over blocks of their own.
+    """
+    out, block, held = [], 0, 0
+    for i, n in enumerate(asks):
+        if held and held + n > QUERY_BLOCK:
+            block, held = block + 1, 0
+        spread = max(1, -(-n // QUERY_BLOCK))
+        out.append((i, block, spread))
+        block, held = (block + spread, 0) if spread > 1 else (block, held + n)
+    return out
+
+
+class _Cell:
+    """The queries of a block and their k best of the vectors met, each query from the lists that it reads.
 
-    Found roughly by a matrix product, whose last digits may differ between
-    equal rows; all that are as near as the k-th but for such digits are then
-    computed in one fixed order of additions.
+    Holds a flag for each query and list: at most about ``QUERY_BLOCK`` times ``MOST_LISTS`` bytes.
     """
-    rough = q @ x.T
-    slack = 1e-9 * (1 + np.abs(rough).max())
-    rough[own[:, None] == ids[None]] = -np.inf
-    floor = np.partition(rough, len(ids) - k, axis=1)[:, len(ids) - k] - slack if len(ids) > k else np.full(len(q), -np.inf)
-    row, col = np.nonzero((rough >= floor[:, None]) & np.isfinite(rough))
-    exact = np.zeros(len(row))
-    for d in range(q.shape[1]):
-        exact += x[col, d] * q[row, d]
-    order = np.lexsort((ids[col], -exact, row))
-    row, col, exact = row[order], col[order], exact[order]
-    rank = np.arange(len(row)) - np.searchsorted(row, row)
-    best = rank < k
-    return own[row[best]], ids[col[best]], exact[best]
+
+    def __init__(self, k: int, n_lists: int):
+        self.k, self.n_lists = k, n_lists
+        self.own, self.q, self.want = np.zeros(0, np.int64), None, np.zeros((0, n_lists + 1), bool)
+        self.row, self.id, self.score = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        self.floor = np.zeros(0)  # the k-th best score so far
+
+    def ask(self, batch: pa.RecordBatch) -> None:
+        q, lists = _matrix(batch.column("v")), batch.column("lists")
+        want = np.zeros((len(q), self.n_lists + 1), bool)  # the last for the -1 of no list
+        want[np.repeat(np.arange(len(q)), lists.value_lengths().to_numpy()), lists.flatten().to_numpy()] = True
+        self.own = np.concatenate([self.own, batch.column("id").to_numpy()])
+        self.q = q if self.q is None else np.concatenate([self.q, q])
+        self.want = np.concatenate([self.want, want])
+        self.floor = np.full(len(self.own), -np.inf)
+
+    def meet(self, batch: pa.RecordBatch) -> None:
+        lists = batch.column("lists")
+        n = lists.value_lengths().to_numpy()
+        at = np.full((len(n), REPLICAS), -1)
+        at[np.arange(REPLICAS) < n[:, None]] = lists.flatten().to_numpy()
+        # A vector in several lists that the block reads counts in the first of them.
+        first = self.want.any(0)[at].argmax(1)
+        once = np.flatnonzero(at[np.arange(len(at)), first] == batch.column("l").to_numpy())
+        ids = batch.column("id").to_numpy()[once]
+        order = np.argsort(ids, kind="stable")
+        ids, once = ids[order], once[order]
+        if not len(ids):
+            return
+        x, at = _matrix(batch.column("v"))[once], at[once]
+        starts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
+        live = np.flatnonzero(self.want[:, np.unique(at)].any(1))
+        new = [self._nearest(x, ids, at, starts, live[i : i + 256]) for i in range(0, len(live), 256)]
+        self._keep(*(np.concatenate(column) for column in zip((self.row, self.id, self.score), *new)))
+
+    def _nearest(self, x: np.ndarray, ids: np.ndarray, at: np.ndarray, starts: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(row, id, score) of all that may be among those queries' k nearest ids.
+
+        Found roughly by a matrix product, whose last digits may differ between
+        equal rows; all that are as near as the k-th but for such digits are then
+        computed in one fixed order of additions.
+        """
+        q, want, k = self.q[rows], self.want[rows], self.k
+        rough = q @ x.T
+        slack = 1e-9 * (1 + np.abs(rough).max())
+        if not want[:, np.unique(at[:, 0])].all():
+            rough[~np.any([want[:, lists] for lists in at.T], 0)] = -np.inf
+        rough[self.own[rows][:, None] == ids[None]] = -np.inf
+        best = rough if len(starts) == len(ids) else np.maximum.reduceat(rough, starts, 1)
+        floor = self.floor[rows]
+        if len(starts) > k:
+            floor = np.maximum(floor, np.partition(best, len(starts) - k, 1)[:, len(starts) - k])
+        row, col = np.nonzero((rough >= (floor - slack)[:, None]) & np.isfinite(rough))
+        exact = np.zeros(len(row))
+        for d in range(q.shape[1]):
+            exact += x[col, d] * q[row, d]
+        return rows[row], ids[col], exact
+
+    def _keep(self, row: np.ndarray, ids: np.ndarray, score: np.ndarray) -> None:
+        order = np.lexsort((-score, ids, row))
+        row, ids, score = row[order], ids[order], score[order]
+        one = np.r_[True, (row[1:] != row[:-1]) | (ids[1:] != ids[:-1])][: len(row)]
+        row, ids, score = row[one], ids[one], score[one]
+        order = np.lexsort((ids, -score, row))
+        row, ids, score = row[order], ids[order], score[order]
+        rank = np.arange(len(row)) - np.searchsorted(row, row)
+        self.floor[row[rank == self.k - 1]] = score[rank == self.k - 1]
+        self.row, self.id, self.score = row[rank < self.k], ids[rank < self.k], score[rank < self.k]
+
+    def found(self) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(self.own[self.row]), pa.array(self.id), pa.array(self.score)], ["query_id", "vec_id", "score"])
