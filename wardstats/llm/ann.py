@@ -32,7 +32,7 @@ from .common import shuffle_width, stored
 
 SAMPLE = 20_000  # vectors that centroids are fitted on
 LIST_SIZE = 1024  # mean length of a list
-MOST_LISTS = 16_384
+MOST_LISTS = 16_384  # below the 32,768 bits of one of Spark's bitmaps
 REPLICAS, REPLICA_RATIO = 4, 1.1
 SEARCH_RATIO = 1.16  # at least; grows until RECALL is met
 RECALL, HELD_OUT = 0.995, 256  # share of true neighbours, and the queries that it is measured on
@@ -122,6 +122,14 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
+def _padded(lists: pa.Array) -> np.ndarray:
+    """The lists of each vector, and -1 up to ``REPLICAS``."""
+    n = lists.value_lengths().to_numpy()
+    at = np.full((len(n), REPLICAS), -1)
+    at[np.arange(REPLICAS) < n[:, None]] = lists.flatten().to_numpy()
+    return at
+
+
 def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     """(id, v): vectors without null, zero or holding null or non-finite components, as doubles.
 
@@ -204,17 +212,37 @@ def search(
     block = (F.col("first") + F.pmod(F.xxhash64("id", "v"), F.col("spread"))).cast("int").alias("block")
     probes = probes.withColumn("near", F.col("lists")[0]).join(F.broadcast(homes), "near").select(block, "id", "v", "lists")
 
-    reads = stored(probes.select("block", F.explode("lists").alias("l")).distinct(), "reads")
-    sizes = spark.createDataFrame([(i, length[i]) for i in length], "l int, n long")  # MOST_LISTS rows at most
-    read = reads.join(F.broadcast(sizes), "l").groupBy("block").agg(F.sum("n").alias("n")).collect()
+    # The lists that a block reads, as bits: 4 kB a block of queries.
+    bits = F.bitmap_construct_agg(F.bitmap_bit_position(F.col("l") + 1)).alias("bits")
+    found = probes.select("block", F.explode("lists").alias("l")).groupBy("block").agg(bits).collect()
+    blocks = np.array([r["block"] for r in found])
+    reads = np.stack([np.unpackbits(np.frombuffer(r["bits"], np.uint8), bitorder="little")[: n_lists + 1] for r in found]).astype(bool)
     most = max(PARTS, total // (k * sum(asks.values())))
-    parts = F.broadcast(spark.createDataFrame([(r["block"], min(-(-r["n"] // CHUNK), most)) for r in read], "block int, parts long"))
-
-    # Cells of a block and a part: first the queries, as of list -1, then the vectors by list.
-    part = F.explode(F.sequence(F.lit(0), (F.col("parts") - 1).cast("int"))).alias("part")
-    asking = probes.join(parts, "block").select("block", part, F.lit(-1).alias("l"), "id", "v", "lists")
-    part = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part")
-    held = postings.withColumn("l", F.explode("lists")).join(reads, "l").join(parts, "block").select("block", part, "l", "id", "v", "lists")
+    parts = np.clip(-(-(reads[:, :n_lists] @ lengths) // CHUNK), 1, most)
+    dealing = spark.sparkContext.broadcast((blocks, reads, parts))
+
+    # Cells of a block and a part: first the queries, as of list -1, then the vectors by the first list read.
+    cell = "block int, part int, l int, id long, v array<double>, lists array<int>"
+    shares = F.broadcast(spark.createDataFrame([(int(b), int(n)) for b, n in zip(blocks, parts)], "block int, parts int"))
+    part = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+    asking = probes.join(shares, "block").select("block", part, F.lit(-1).alias("l"), "id", "v", "lists")
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks, reads, parts = dealing.value
+        most = max(1, 16_384 // len(blocks))
+        for batch in batches:
+            for i in range(0, batch.num_rows, most):
+                vectors = batch.slice(i, most)
+                at = _padded(vectors.column("lists"))
+                hits = reads[:, at]
+                b, row = np.nonzero(hits.any(2))
+                place = np.mod(vectors.column("dealt").to_numpy()[row], parts[b])
+                columns = [blocks[b], place, at[row, hits[b, row].argmax(1)]]
+                rest = vectors.select(["id", "v", "lists"]).take(pa.array(row))
+                columns = [pa.array(c.astype(np.int32)) for c in columns]
+                yield pa.RecordBatch.from_arrays([*columns, *rest.columns], ["block", "part", "l", "id", "v", "lists"])
+
+    held = postings.withColumn("dealt", F.xxhash64("id")).mapInArrow(deal, cell)
     cells = asking.unionByName(held).repartition(shuffle_width(spark), "block", "part").sortWithinPartitions("block", "part", "l")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -338,19 +366,9 @@ class _Cell:
         self.floor = np.full(len(self.own), -np.inf)
 
     def meet(self, batch: pa.RecordBatch) -> None:
-        lists = batch.column("lists")
-        n = lists.value_lengths().to_numpy()
-        at = np.full((len(n), REPLICAS), -1)
-        at[np.arange(REPLICAS) < n[:, None]] = lists.flatten().to_numpy()
-        # A vector in several lists that the block reads counts in the first of them.
-        first = self.want.any(0)[at].argmax(1)
-        once = np.flatnonzero(at[np.arange(len(at)), first] == batch.column("l").to_numpy())
-        ids = batch.column("id").to_numpy()[once]
+        ids = batch.column("id").to_numpy()
         order = np.argsort(ids, kind="stable")
-        ids, once = ids[order], once[order]
-        if not len(ids):
-            return
-        x, at = _matrix(batch.column("v"))[once], at[once]
+        ids, x, at = ids[order], _matrix(batch.column("v"))[order], _padded(batch.column("lists"))[order]
         starts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
         live = np.flatnonzero(self.want[:, np.unique(at)].any(1))
         new = [self._nearest(x, ids, at, starts, live[i : i + 256]) for i in range(0, len(live), 256)]
